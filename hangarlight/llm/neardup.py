@@ -4,12 +4,15 @@ How it stays whole and bounded:
 
 * Documents with equal shingle sets collapse to one representative first, so groups of exact copies,
   however large, never meet in a band.
-* In each band bucket every member is compared with the bucket's smallest id (its hub): linear in the
-  bucket. Verified links are grouped into components.
-* Only buckets whose members still lie in different components are open. Their members are compared by
-  an exact prefix filter: two sets with Jaccard >= t share one of their ``n - ceil(t n) + 1`` rarest
-  shingles, so only pairs sharing a rare shingle and lying in different components are checked. A
-  passage that many documents share is a frequent shingle and makes no pairs.
+* In each band bucket every member is compared with the bucket's hub, the member that shares most
+  buckets with others: linear in the bucket. Verified links are grouped into components.
+* No link between two members is lost by comparing with the hub only. For two members x, y under a hub H
+  a link needs ``|x and y| >= ceil(t (|x| + |y|) / (1 + t))``, and at most ``min(|x and H|, |y and H|)`` of
+  these shingles lie inside H. So either x and y share a shingle outside H, or both overlaps with H reach
+  that bound. The first kind is found by a join on shingles outside the hub, cut to each member's rarest
+  ones (prefix filter); the second by a join on size classes, where a member meets only the sizes that its
+  overlap allows. Both start from members outside the hub's component. A passage that many documents share
+  lies inside the hub and makes no pairs.
 
 Defined results: null or blank text has an empty set and is linked with nothing. Rows with a null id
 take part in nothing: component null, kept true. Rows repeating an id belong to the same document.
@@ -87,12 +90,14 @@ def linked(n_a, n_b, inter, threshold: int = THRESHOLD):
     return 100 * inter >= threshold * (n_a + n_b - inter)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Keep the pairs (a, b) whose full shingle sets are similar enough."""
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    both = with_a.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    inter = F.size(F.array_intersect("set_a", "set_b"))
-    return both.filter(linked(F.size("set_a"), F.size("set_b"), inter, threshold)).select("a", "b")
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Full sets of each pair (a, b) side by side: a, b, na, nb, inter and ``rest``, the shingles of a outside b."""
+    with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
+    both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    rest = F.array_except("set_a", "set_b")
+    return both.select("a", "b", F.size("set_a").alias("na"), F.size("set_b").alias("nb"), rest.alias("rest")).withColumn(
+        "inter", F.col("na") - F.size("rest")
+    )
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -125,55 +130,78 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     )
 
 
-def _hub_pairs(banded: DataFrame) -> DataFrame:
-    hubs = banded.groupBy("band", "hash").agg(F.min("id").alias("hub"), F.count("*").alias("c")).filter("c > 1")
-    return (
-        banded.join(hubs, ["band", "hash"])
-        .filter("id <> hub")
-        .select(F.col("id").alias("a"), F.col("hub").alias("b"))
-        .distinct()
-    )
+def _hub_pairs(representatives: DataFrame) -> DataFrame:
+    """(a, b): each member of a band bucket with the bucket's hub, once over all bands."""
+    banded = representatives.select("id", F.posexplode("bands").alias("band", "hash"))
+    counts = banded.groupBy("band", "hash").agg(F.count("*").alias("c")).filter("c > 1")
+    shared = materialize(banded.join(counts, ["band", "hash"]))
+    weight = shared.groupBy("id").agg(F.sum("c").alias("weight"))
+    central = F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub")
+    hubs = shared.join(weight, "id").groupBy("band", "hash").agg(central)
+    met = shared.join(hubs, ["band", "hash"]).filter("id <> hub")
+    return met.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def _open_members(banded: DataFrame, known: DataFrame) -> DataFrame:
-    """Members (id, component) of buckets that hold more than one component."""
-    labelled = banded.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    spans = labelled.groupBy("band", "hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return (
-        labelled.join(spans.filter("low <> high").select("band", "hash"), ["band", "hash"], "left_semi")
-        .select("id", "component")
-        .distinct()
-    )
+def _needed(n_a, n_b, threshold: int):
+    """Shingles that sets of these sizes must share to be linked."""
+    return F.ceil((n_a + n_b) * threshold / (100 + threshold))
+
+
+def _size_class(n):
+    """Classes of sizes within about 3 %."""
+    return F.floor(F.log(n.cast("double")) / 0.03).cast("int")
 
 
-def _prefix_pairs(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of members in different components that share a shingle of both their rarest prefixes."""
-    sized = members.join(sets, "id").withColumn("n", F.size("shingles"))
-    rows = sized.select("id", "component", "n", F.explode("shingles").alias("s"))
-    shared = rows.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1")
-    met = rows.join(shared, "s")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("c", "s"))
-    own = F.count("*").over(Window.partitionBy("id"))
-    need = F.ceil(F.col("n") * threshold / 100)
-    prefix = materialize(
-        met.withColumn("rank", F.col("n") - own + rank)
-        .filter(F.col("rank") <= F.col("n") - need + 1)
-        .select("s", "id", "component", "n")
+def _missed_pairs(compared: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+    """Pairs under one hub, in different components, that may be linked (see above)."""
+    component = known.select(F.col("id").alias("a"), F.col("component").alias("own"))
+    hub_component = known.select(F.col("id").alias("b"), F.col("component").alias("of_hub"))
+    labelled = materialize(
+        compared.join(component, "a", "left")
+        .join(hub_component, "b", "left")
+        .withColumn("own", F.coalesce("own", "a"))
+        .withColumn("minor", F.col("own") != F.coalesce("of_hub", "b"))
+        .drop("of_hub")
     )
-    # In each shingle's group the largest component is not paired with itself: the others meet everyone.
-    per = prefix.groupBy("s", "component").agg(F.count("*").alias("k"))
-    largest = per.groupBy("s").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts"))
-    minor = prefix.join(largest.filter("parts > 1"), "s").filter("component <> main")
-    x, y = minor.alias("x"), prefix.alias("y")
-    return (
-        x.join(y, F.col("x.s") == F.col("y.s"))
+    members = labelled.join(labelled.filter("minor").select("b").distinct(), "b", "left_semi")
+    smallest = F.greatest(F.col("na") * threshold / 100, F.lit(1))  # a partner is no smaller than this
+    k = F.greatest(F.lit(1), _needed(F.col("na"), smallest, threshold) - F.col("inter"))
+    rows = members.select("a", "b", "own", "minor", "na", F.size("rest").alias("d"), k.alias("k"), "rest").filter("k <= d")
+    rows = rows.withColumn("s", F.explode("rest")).drop("rest")
+    shared = rows.groupBy("b", "s").agg(
+        F.count("*").alias("c"), F.max("minor").alias("any_minor"), F.min("own").alias("low"), F.max("own").alias("high")
+    )
+    met = rows.join(shared.filter("any_minor and low <> high").select("b", "s", "c"), ["b", "s"])
+    each = Window.partitionBy("a", "b")
+    # Shingles that make no pair count as the rarest ones.
+    rank = F.col("d") - F.count("*").over(each) + F.row_number().over(each.orderBy("c", "s"))
+    prefix = materialize(met.withColumn("rank", rank).filter("rank <= d - k + 1").select("b", "s", "a", "own", "minor", "na"))
+    x, y = prefix.filter("minor").alias("x"), prefix.alias("y")
+    outside = (
+        x.join(y, (F.col("x.b") == F.col("y.b")) & (F.col("x.s") == F.col("y.s")))
         .filter(
-            (F.col("x.component") != F.col("y.component"))
-            & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))
+            (F.col("x.own") != F.col("y.own"))
+            & (100 * F.least("x.na", "y.na") >= threshold * F.greatest("x.na", "y.na"))
         )
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
+        .select(F.col("x.a").alias("p"), F.col("y.a").alias("q"))
     )
+    # Without a shingle outside the hub, a partner is at most as large as the overlap with the hub allows.
+    lean = members.select("a", "b", "own", "minor", "na", "inter")
+    low = F.ceil(F.col("na") * threshold / 100)
+    high = F.floor(F.col("inter") * (100 + threshold) / threshold) - F.col("na")
+    reach = F.explode(F.sequence(_size_class(low), _size_class(high))).alias("size")
+    asking = lean.filter("minor").withColumns({"low": low, "high": high}).filter("low >= 1 and high >= low").select("a", "b", "own", "na", "inter", reach)
+    asked = lean.withColumn("size", _size_class(F.col("na")))
+    x, y = asking.alias("x"), asked.alias("y")
+    inside = (
+        x.join(y, (F.col("x.b") == F.col("y.b")) & (F.col("x.size") == F.col("y.size")))
+        .filter(
+            (F.col("x.own") != F.col("y.own"))
+            & (F.least("x.inter", "y.inter") >= _needed(F.col("x.na"), F.col("y.na"), threshold))
+        )
+        .select(F.col("x.a").alias("p"), F.col("y.a").alias("q"))
+    )
+    return outside.union(inside).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, width: int = SHINGLE) -> DataFrame:
@@ -187,26 +215,23 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, width: int = SH
     found = signed.filter("doc_id is not null and n_shingles > 0")
     key = ["n_shingles", "d1", "d2"]
     classes = found.groupBy(*key).agg(F.min("doc_id").alias("id"))
-    banded = materialize(
-        found.withColumnRenamed("doc_id", "id")
-        .join(classes, [*key, "id"], "left_semi")
-        .select("id", F.posexplode("bands").alias("band", "hash"))
-        .distinct()
+    representatives = materialize(
+        found.withColumnRenamed("doc_id", "id").join(classes, [*key, "id"], "left_semi").dropDuplicates(["id", *key])
     )
+    repeated = bool(found.groupBy("doc_id").count().filter("count > 1").limit(1).count())
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = join_ids(docs, ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-        return shingle_arrays(wanted, width).dropDuplicates(["id"]) if repeated else shingle_arrays(wanted, width)
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        sets = shingle_arrays(join_ids(docs, ids, "doc_id", "left_semi"), width)
+        return sets.dropDuplicates(["id"]) if repeated else sets
 
-    repeated = bool(found.groupBy("doc_id").count().filter("count > 1").limit(1).count())
-    pairs = materialize(_hub_pairs(banded))
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    links = materialize(verify(pairs, sets_of(ids), threshold))
+    is_linked = linked(F.col("na"), F.col("nb"), F.col("inter"), threshold)
+    pairs = materialize(_hub_pairs(representatives))
+    compared = materialize(compare(pairs, sets_of(pairs)))
+    links = compared.filter(is_linked).select("a", "b")
     known = components(links)
-    members = materialize(_open_members(banded, known))
-    open_sets = materialize(sets_of(members.select("id").distinct()))
-    more = materialize(_prefix_pairs(members, open_sets, threshold))
-    extra = materialize(verify(more, open_sets, threshold))
+    more = materialize(_missed_pairs(compared, known, threshold))
+    extra = materialize(compare(more, sets_of(more)).filter(is_linked).select("a", "b"))
     if extra.limit(1).count():
         known = components(links.union(extra))
     labelled = classes.join(known, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))

@@ -85,8 +85,8 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
     """Personalised PageRank (host, rank) from seeds (host, mass; masses sum to 1) over edges (src, dst, n)."""
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     weighted = materialize(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("w")))
-    base = materialize(seeds.select("host", (F.col("mass") * (1 - damping)).alias("rank")))
-    rank = base.select("host", F.col("rank") * 1.0).toDF("host", "rank")
+    base = materialize(seeds).select("host", (F.col("mass") * (1 - damping)).alias("rank"))
+    rank = base
     for _ in range(rounds):
         moved = weighted.join(rank, weighted["src"] == rank["host"]).select(
             F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("rank")
