@@ -20,7 +20,7 @@ def any_needle(text: Column, needles) -> Column:
 
 def canonical_n_number(x: Column) -> Column:
     bare = F.regexp_replace(F.upper(F.trim(x)), "[- .]", "")
-    return F.when((bare == "") | bare.startswith("N"), bare).otherwise(F.concat(F.lit("N"), bare))
+    return F.regexp_replace(bare, "^(?=[^N])", "N")
 
 
 def canonical_icao24(x: Column) -> Column:
@@ -28,8 +28,9 @@ def canonical_icao24(x: Column) -> Column:
 
 
 def pad_cik(x: Column) -> Column:
-    digits = F.regexp_replace(x, "[^0-9]", "")
-    return F.when(F.length(digits) >= 10, digits).otherwise(F.lpad(digits, 10, "0"))
+    """Digits, padded with zeros to at least 10; longer ones stay whole."""
+    led = F.concat(F.lit("0" * 10), F.regexp_replace(x, "[^0-9]", ""))
+    return F.regexp_replace(led, "^0{0,10}(?=.{10})", "")
 
 
 def normalize_name(raw: Column) -> Column:
@@ -39,7 +40,7 @@ def normalize_name(raw: Column) -> Column:
     plain = F.trim(F.regexp_replace(upper, "[^A-Z0-9]+", " "))
     suffixes = "|".join(D.LEGAL_SUFFIXES)
     cut = F.regexp_replace(F.regexp_replace(plain, "^(?:THE )+", ""), f"(?: (?:{suffixes}))+$", "")
-    return F.when(cut.isin(*D.LEGAL_SUFFIXES), F.lit("")).otherwise(cut)
+    return F.regexp_replace(cut, f"^(?:{suffixes})$", "")
 
 
 def normalize_street(raw: Column) -> Column:
@@ -50,8 +51,9 @@ def normalize_street(raw: Column) -> Column:
 
 
 def normalize_address(street: Column, city: Column, state: Column) -> Column:
-    s, c = normalize_street(street), normalize_name(city)
-    return F.when((s == "") | (c == ""), F.lit("")).otherwise(F.concat_ws("|", s, c, F.upper(F.trim(state))))
+    """street|city|STATE; empty without a street or a city. Normalised parts hold no bar of their own."""
+    whole = F.concat_ws("|", normalize_street(street), normalize_name(city), F.upper(F.trim(state)))
+    return F.regexp_replace(whole, r"(?s)^(?:\|.*|[^|]*\|\|.*)$", "")
 
 
 def mapping_identity(ticker: Column, cik: Column, method: Column, registrant: Column) -> Column:
@@ -172,24 +174,32 @@ def has_extra_identity_suffix(tokens: Column, parent_tokens: Column) -> Column:
 
 
 def name_match_corroborated(norm: Column, parent_name: Column, ticker: Column) -> Column:
-    """Whether an exact-key hit is strong enough to publish; the order of the tests is part of the rule."""
-    tokens = name_tokens(norm)
-    core = F.array_join(tokens, " ")
-    core_alnum = alnum_only(core)
-    t = F.upper(F.trim(ticker))
-    t_alnum = alnum_only(t)
-    parent_tokens = name_tokens(normalize_name(parent_name))
-    parent_alnum = alnum_only(F.array_join(parent_tokens, " "))
+    """Whether an exact-key hit is strong enough to publish; the order of the tests is part of the rule.
+
+    The token lists are bound once, as the fields of a one-row array, and the tests read them from there.
+    """
+    prepared = F.struct(
+        name_tokens(norm).alias("tokens"),
+        distinctive_core(norm).alias("core"),
+        name_tokens(normalize_name(parent_name)).alias("parent_tokens"),
+        alnum_only(distinctive_core(normalize_name(parent_name))).alias("parent"),
+        F.upper(F.trim(ticker)).alias("ticker"),
+    )
+    return F.coalesce(F.get(F.transform(F.array(prepared), _corroborated), 0), F.lit(False))
+
+
+def _corroborated(x: Column) -> Column:
+    tokens, core, parent_tokens, parent, t = (x[k] for k in ("tokens", "core", "parent_tokens", "parent", "ticker"))
+    core_alnum, t_alnum = alnum_only(core), alnum_only(t)
     named = (t != "") & ((core == t) | ((t_alnum != "") & (core_alnum == t_alnum)))
-    token_hit = F.exists(tokens, lambda x: ((t != "") & (x == t)) | looks_like_n_number_token(x))
+    token_hit = F.exists(tokens, lambda y: ((t != "") & (y == t)) | looks_like_n_number_token(y))
     shared = F.arrays_overlap(F.filter(tokens, overlap_token_ok), F.filter(parent_tokens, overlap_token_ok))
-    verdict = (
+    return (
         F.when(core == "", False)
         .when(named, True)
         .when(token_hit, True)
         .when(has_extra_identity_suffix(tokens, parent_tokens), False)
-        .when(consecutive_tokens_match_parent(tokens, parent_alnum), True)
-        .when((F.length(core_alnum) >= 4) & parent_alnum.contains(core_alnum), True)
+        .when(consecutive_tokens_match_parent(tokens, parent), True)
+        .when((F.length(core_alnum) >= 4) & parent.contains(core_alnum), True)
         .otherwise(shared)
     )
-    return F.coalesce(verdict, F.lit(False))

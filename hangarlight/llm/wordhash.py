@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _GAMMA = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _BASE = np.uint64(_GAMMA)

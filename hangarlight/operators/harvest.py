@@ -48,7 +48,7 @@ def keyword_hit(text: Column) -> Column:
 
 
 def extract_hits(texts: DataFrame, allow: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_number, at, snippet for each registration number with a filing keyword nearby.
+    """doc_id, n_number, pos, snippet for each registration number with a filing keyword nearby.
 
     ``texts`` has doc_id and plain text. Offsets come from the pieces between matches, so one pass of the
     regular expression places all matches; the margins are cut by character position.
@@ -68,17 +68,17 @@ def extract_hits(texts: DataFrame, allow: DataFrame | None = None) -> DataFrame:
         ),
     )["out"]
     rows = found.withColumn("pieces", pieces).withColumn("steps", ends).select("doc_id", "text", F.explode(walked).alias("m"))
-    rows = rows.select("doc_id", "text", F.col("m.n").alias("n_number"), F.col("m.at").alias("at"))
+    rows = rows.select("doc_id", "text", F.col("m.n").alias("n_number"), F.col("m.at").alias("pos"))
     if allow is not None:
         rows = rows.join(allow.select("n_number").distinct(), "n_number", "left_semi")
 
     def around(margin: int) -> Column:
-        low = F.greatest(F.lit(0), F.col("at") - margin)
-        return F.substring("text", low + 1, F.col("at") + F.length("n_number") + margin - low)
+        low = F.greatest(F.lit(0), F.col("pos") - margin)
+        return F.substring("text", low + 1, F.col("pos") + F.length("n_number") + margin - low)
 
     snippet = F.trim(F.regexp_replace(around(D.SNIPPET_MARGIN), r"\s+", " "))
     kept = rows.withColumn("snippet", snippet).filter(keyword_hit(F.col("snippet")) | keyword_hit(around(D.KEYWORD_MARGIN)))
-    return kept.select("doc_id", "n_number", "at", "snippet")
+    return kept.select("doc_id", "n_number", "pos", "snippet")
 
 
 def skip_document_filename(name: Column) -> Column:

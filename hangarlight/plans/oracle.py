@@ -188,7 +188,8 @@ cur AS (SELECT n_number, CASE WHEN change IN ('quiet', 'dropped') THEN ot ELSE n
 GOLD = f"""{DECIDED},
 gold_names AS (SELECT upper(ticker) AS ticker, unnest(list_concat([registrant], CASE WHEN company_name <> '' THEN [company_name] ELSE [] END)) AS name, ord, generate_subscripts(list_concat([registrant], CASE WHEN company_name <> '' THEN [company_name] ELSE [] END), 1) AS k FROM gold_flat),
 expected AS (SELECT {norm('name')} AS nk, arg_max(ticker, ord * 10 + k) AS expected FROM gold_names GROUP BY 1),
-gh AS (SELECT a.n_number, expected, p.ticker AS got, nk, ({CORPORATE}) AS cr, {CLASS} AS class FROM aircraft a JOIN expected e ON e.nk = {norm('a.registrant_name')} LEFT JOIN pub p ON p.n_number = a.n_number)"""
+air AS (SELECT n_number, {norm('registrant_name')} AS ak, ({CORPORATE}) AS cr, ({CENSUS}) AS why, ({CLASS}) AS class FROM aircraft),
+gh AS (SELECT a.n_number, expected, p.ticker AS got, nk, cr, class FROM air a JOIN expected e ON e.nk = ak LEFT JOIN pub p ON p.n_number = a.n_number)"""
 
 
 
@@ -238,7 +239,7 @@ def oracles() -> dict[str, str]:
             SELECT *, true_positives / nullif(true_positives + false_negatives, 0) AS recall, true_positives / nullif(true_positives + false_positives, 0) AS precision FROM c""",
         "scorecard_coverage": f"""WITH {DECIDED} SELECT 'all' AS kind, '' AS value, count(*) AS tails, count(DISTINCT ticker) AS tickers FROM pub HAVING count(*) > 0
             UNION ALL SELECT 'method', match_method, count(*), count(DISTINCT ticker) FROM pub GROUP BY 2 UNION ALL SELECT 'aviation_issuer', aviation_issuer::INT::VARCHAR, count(*), count(DISTINCT ticker) FROM pub GROUP BY 2""",
-        "gold_miss_buckets": f"""WITH {GOLD}, gn AS (SELECT DISTINCT ticker, {norm('name')} AS nk FROM gold_names), gt AS (SELECT DISTINCT gn.ticker, a.n_number, {CENSUS} AS why FROM gn JOIN aircraft a ON {norm('a.registrant_name')} = nk WHERE nk <> ''),
+        "gold_miss_buckets": f"""WITH {GOLD}, gn AS (SELECT DISTINCT ticker, {norm('name')} AS nk FROM gold_names), gt AS (SELECT DISTINCT gn.ticker, a.n_number, why FROM gn JOIN air a ON ak = nk WHERE nk <> ''),
             m AS (SELECT ticker, count(*) AS master_n, count(*) FILTER (WHERE why IS NULL) AS ok FROM gt GROUP BY 1), pb AS (SELECT ticker, count(*) AS n FROM pub GROUP BY 1), rv AS (SELECT ticker, count(*) AS n FROM rev GROUP BY 1),
             tr AS (SELECT DISTINCT gn.ticker FROM gn JOIN trusts t ON {norm('t.registrant_name')} = nk OR (length(nk) >= 6 AND contains({norm('t.registrant_name')}, nk)) WHERE nk <> '')
             SELECT upper(g.ticker) AS ticker, CASE WHEN pb.n > 0 THEN 'published' WHEN rv.n > 0 THEN 'review_queue' WHEN ok > 0 THEN 'master_name_not_published' WHEN master_n > 0 THEN 'airframe_filtered' WHEN tr.ticker IS NOT NULL THEN 'trust_name_only' ELSE 'no_master_legal_name' END AS bucket,
@@ -247,9 +248,9 @@ def oracles() -> dict[str, str]:
         "name_precision": f"""WITH {GOLD}, x AS (SELECT count(*) AS hits, count(*) FILTER (WHERE got = expected) AS tp, count(*) FILTER (WHERE got <> expected) AS fp FROM gh WHERE cr IS NULL AND class = 'eligible' AND nk <> '')
             SELECT *, CASE WHEN tp + fp = 0 THEN 1.0 ELSE tp / (tp + fp) END AS precision FROM x""",
         "alias_reasons": f"""WITH {GOLD}, k AS (SELECT upper(ticker) AS ticker, cik, registrant AS name, {norm('registrant')} AS nk FROM gold_flat)
-            SELECT k.ticker, k.cik, k.name, a.n_number, CASE WHEN ({CENSUS}) IS NOT NULL THEN 'airframe:' || ({CENSUS}) WHEN ({CLASS}) <> 'eligible' THEN 'class:' || ({CLASS}) WHEN u.must_not_ticker = k.ticker THEN 'unpublished_suppress'
+            SELECT k.ticker, k.cik, k.name, a.n_number, CASE WHEN why IS NOT NULL THEN 'airframe:' || why WHEN class <> 'eligible' THEN 'class:' || class WHEN u.must_not_ticker = k.ticker THEN 'unpublished_suppress'
               WHEN p.ticker = k.ticker THEN 'already_published_same_ticker' WHEN p.ticker IS NOT NULL THEN 'published_other_ticker' WHEN r.n_number IS NOT NULL THEN 'review_queue' WHEN x.tickers = [k.ticker] THEN 'already_in_name_index' WHEN x.tickers IS NOT NULL THEN 'uniqueness_collision' ELSE 'addable' END AS reason
-            FROM k JOIN aircraft a ON {norm('a.registrant_name')} = k.nk LEFT JOIN pub p ON p.n_number = a.n_number LEFT JOIN rev r ON r.n_number = a.n_number LEFT JOIN unpublished u ON u.n_number = a.n_number LEFT JOIN nidx x ON x.key = k.nk WHERE k.nk <> ''""",
+            FROM k JOIN air a ON ak = k.nk LEFT JOIN pub p ON p.n_number = a.n_number LEFT JOIN rev r ON r.n_number = a.n_number LEFT JOIN unpublished u ON u.n_number = a.n_number LEFT JOIN nidx x ON x.key = k.nk WHERE k.nk <> ''""",
         "unpublished_fps": f"WITH {DECIDED} SELECT p.n_number, p.ticker FROM pub p JOIN unpublished u ON u.n_number = p.n_number AND upper(u.must_not_ticker) = p.ticker",
         "harvest_stats": f"WITH {cte('edgar_hits')} SELECT n_number, count(DISTINCT cik) AS ciks, count(*) AS hits, count(DISTINCT cik) = 1 AS unique_cik FROM edgar_hits GROUP BY n_number",
         "top_tickers": f"WITH {DECIDED} SELECT ticker, count(*) AS n FROM pub GROUP BY 1 ORDER BY n DESC, ticker LIMIT 15",
@@ -268,10 +269,10 @@ def oracles() -> dict[str, str]:
             UNION ALL SELECT CASE WHEN ticker <> '' THEN ticker ELSE must_not_ticker END, 'more than 2 tails' FROM rubric WHERE ticker <> '' OR must_not_ticker <> '' GROUP BY 1 HAVING count(*) > 2""",
         "edgar_extract": """WITH RECURSIVE t AS (SELECT doc_id, 'The corporate aircraft N' || (100 + doc_id % 900) || ' flew; bond series N' || (1000 + doc_id) || ' ' || repeat('x ', 500) || 'n-number N' || (2000 + doc_id % 7) || ' ' || lang AS text FROM documents),
             m AS (SELECT doc_id, text, unnest(regexp_extract_all(text, '\\bN[1-9][0-9A-Z]{2,4}\\b')) AS n_number FROM t),
-            p AS (SELECT *, strpos(text, n_number) - 1 AS at FROM m),
-            s AS (SELECT doc_id, n_number, at, trim(regexp_replace(substr(text, greatest(0, at - 180) + 1, at + length(n_number) + 180 - greatest(0, at - 180)), '\\s+', ' ', 'g')) AS snippet,
-              lower(substr(text, greatest(0, at - 800) + 1, at + length(n_number) + 800 - greatest(0, at - 800))) AS wide FROM p)
-            SELECT doc_id, n_number, at::INTEGER AS at, snippet FROM s WHERE """
+            p AS (SELECT *, strpos(text, n_number) - 1 AS pos FROM m),
+            s AS (SELECT doc_id, n_number, pos, trim(regexp_replace(substr(text, greatest(0, pos - 180) + 1, pos + length(n_number) + 180 - greatest(0, pos - 180)), '\\s+', ' ', 'g')) AS snippet,
+              lower(substr(text, greatest(0, pos - 800) + 1, pos + length(n_number) + 800 - greatest(0, pos - 800))) AS wide FROM p)
+            SELECT doc_id, n_number, pos::INTEGER AS pos, snippet FROM s WHERE """
         + _any("lower(snippet)", D.FILING_KEYWORDS) + " OR " + _any("wide", D.FILING_KEYWORDS),
         "html_plain_text": """SELECT page_id, length(regexp_replace(html, '<[^>]+>', ' ', 'g')) AS n_chars, md5(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&middot;', chr(183)), '&copy;', chr(169)), '&amp;', '&')) AS text_md5 FROM pages""",
         "keyword_documents": f"SELECT doc_id, {_any('lower(text)', D.FILING_KEYWORDS)} AS keyword FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +30,40 @@ def joined(column: str) -> Column:
 
 
 class World:
-    """The universe with the usual preparation steps, all lazy."""
+    """The universe with the usual preparation steps. Listings and decisions are kept, since every report filters them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.t = U.universe(spark, sf_dir, "feed_new")
-        self.filled = listings.fill_addresses(U.listed(self.t), U.addresses(self.t))
-        self.companies = listings.apply_aliases(self.filled, self.t["aliases"])
-        self.primary = listings.primary_listings(self.companies)
-        self.gold = U.gold(self.t)
+        self.t = U.Universe(spark, sf_dir)
 
-    def decided(self) -> DataFrame:
+    def release(self) -> None:
+        for name in ("companies", "_decided"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+
+    @cached_property
+    def filled(self) -> DataFrame:
+        return listings.fill_addresses(U.listed(self.t), U.addresses(self.t))
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return listings.apply_aliases(self.filled, self.t["aliases"]).persist()
+
+    @cached_property
+    def primary(self) -> DataFrame:
+        return listings.primary_listings(self.companies)
+
+    @cached_property
+    def gold(self) -> dict[str, DataFrame]:
+        return U.gold(self.t)
+
+    @cached_property
+    def _decided(self) -> DataFrame:
         t = self.t
         evidence = resolve.Evidence(self.companies, t["subsidiaries"], t["edgar_hits"], t["licences"], t["overrides"], t["unpublished"])
-        return resolve.decide(t["aircraft"], evidence, SOURCE)
+        return resolve.decide(t["aircraft"], evidence, SOURCE).persist()
+
+    def decided(self) -> DataFrame:
+        return self._decided
 
     def published(self) -> DataFrame:
         rows = resolve.published(self.decided(), AS_OF)
@@ -54,21 +76,36 @@ class World:
         return resolve.unresolved(self.decided(), AS_OF).filter("reason = 'trustee'")
 
 
+_worlds: dict[tuple[str, str], World] = {}
+
+
+def world(spark: SparkSession, sf_dir: str) -> World:
+    """The world of a folder; one at a time is kept, and asking for another releases it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _worlds:
+        for old in list(_worlds):
+            if old[0] == key[0]:
+                _worlds[old].release()
+            del _worlds[old]
+        _worlds[key] = World(spark, sf_dir)
+    return _worlds[key]
+
+
 @query
 def normalize_names(spark, sf_dir):
     norm = E.normalize_name(F.col("registrant_name"))
-    return World(spark, sf_dir).t["aircraft"].select("n_number", norm.alias("norm"), E.distinctive_core(norm).alias("core"))
+    return world(spark, sf_dir).t["aircraft"].select("n_number", norm.alias("norm"), E.distinctive_core(norm).alias("core"))
 
 
 @query
 def normalize_addresses(spark, sf_dir):
     key = E.normalize_address(F.col("street"), F.col("city"), F.col("state"))
-    return World(spark, sf_dir).t["aircraft"].select("n_number", key.alias("address"))
+    return world(spark, sf_dir).t["aircraft"].select("n_number", key.alias("address"))
 
 
 @query
 def canonical_keys(spark, sf_dir):
-    return World(spark, sf_dir).t["edgar_hits"].select(
+    return world(spark, sf_dir).t["edgar_hits"].select(
         "ord",
         E.canonical_n_number(F.col("n_number")).alias("n_number"),
         E.pad_cik(F.col("cik")).alias("cik"),
@@ -78,33 +115,33 @@ def canonical_keys(spark, sf_dir):
 
 @query
 def corporate_filter_reasons(spark, sf_dir):
-    return World(spark, sf_dir).t["aircraft"].select("n_number", F.coalesce(E.corporate_reason(F.col), F.lit("")).alias("reason"))
+    return world(spark, sf_dir).t["aircraft"].select("n_number", F.coalesce(E.corporate_reason(F.col), F.lit("")).alias("reason"))
 
 
 @query
 def classify_registrants(spark, sf_dir):
     kind = E.classify_registrant(F.col("registrant_name"), F.trim("type_registrant") == "1", F.col("fractional_owner"))
-    return World(spark, sf_dir).t["aircraft"].select("n_number", kind.alias("class"))
+    return world(spark, sf_dir).t["aircraft"].select("n_number", kind.alias("class"))
 
 
 @query
 def primary_listings(spark, sf_dir):
-    return World(spark, sf_dir).primary.select("cik", "ticker", "name", "exchange")
+    return world(spark, sf_dir).primary.select("cik", "ticker", "name", "exchange")
 
 
 @query
 def omitted_preferred(spark, sf_dir):
-    return listings.omitted_preferred_only(World(spark, sf_dir).companies).select("cik", "ticker")
+    return listings.omitted_preferred_only(world(spark, sf_dir).companies).select("cik", "ticker")
 
 
 @query
 def fill_addresses(spark, sf_dir):
-    return World(spark, sf_dir).filled.select("ord", "cik", "ticker", "street", "city", "state", joined("former_names"))
+    return world(spark, sf_dir).filled.select("ord", "cik", "ticker", "street", "city", "state", joined("former_names"))
 
 
 @query
 def apply_aliases(spark, sf_dir):
-    return World(spark, sf_dir).companies.select("ord", "cik", "ticker", joined("former_names"))
+    return world(spark, sf_dir).companies.select("ord", "cik", "ticker", joined("former_names"))
 
 
 def _hits(index: DataFrame) -> DataFrame:
@@ -113,24 +150,24 @@ def _hits(index: DataFrame) -> DataFrame:
 
 @query
 def name_index(spark, sf_dir):
-    return _hits(indexes.name_index(World(spark, sf_dir).primary))
+    return _hits(indexes.name_index(world(spark, sf_dir).primary))
 
 
 @query
 def subsidiary_index(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     return _hits(indexes.subsidiary_index(w.t["subsidiaries"], w.primary))
 
 
 @query
 def address_index(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     return _hits(indexes.address_index(w.primary, w.t["subsidiaries"]))
 
 
 @query
 def corroboration(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     index = indexes.subsidiary_index(w.t["subsidiaries"], w.primary)
     verdict = E.name_match_corroborated(F.col("key"), F.col("hit.name"), F.col("hit.ticker"))
     return index.select("key", "hit.ticker", verdict.alias("corroborated"))
@@ -138,42 +175,42 @@ def corroboration(spark, sf_dir):
 
 @query
 def resolve_published(spark, sf_dir):
-    return World(spark, sf_dir).published().drop("aviation_issuer")
+    return world(spark, sf_dir).published().drop("aviation_issuer")
 
 
 @query
 def resolve_review(spark, sf_dir):
-    return World(spark, sf_dir).review()
+    return world(spark, sf_dir).review()
 
 
 @query
 def resolve_conflicts(spark, sf_dir):
-    return resolve.conflicts(World(spark, sf_dir).decided()).select("n_number", "registrant_name", joined("tickers"), "method")
+    return resolve.conflicts(world(spark, sf_dir).decided()).select("n_number", "registrant_name", joined("tickers"), "method")
 
 
 @query
 def resolve_unresolved(spark, sf_dir):
-    return resolve.unresolved(World(spark, sf_dir).decided(), AS_OF)
+    return resolve.unresolved(world(spark, sf_dir).decided(), AS_OF)
 
 
 @query
 def resolve_funnel(spark, sf_dir):
-    return resolve.funnel(World(spark, sf_dir).decided())
+    return resolve.funnel(world(spark, sf_dir).decided())
 
 
 @query
 def resolve_by_method(spark, sf_dir):
-    return World(spark, sf_dir).published().groupBy("match_method").agg(F.count("*").alias("tails"), F.countDistinct("ticker").alias("tickers"))
+    return world(spark, sf_dir).published().groupBy("match_method").agg(F.count("*").alias("tails"), F.countDistinct("ticker").alias("tickers"))
 
 
 @query
 def aviation_issuer(spark, sf_dir):
-    return World(spark, sf_dir).published().select("n_number", "ticker", "aviation_issuer")
+    return world(spark, sf_dir).published().select("n_number", "ticker", "aviation_issuer")
 
 
 @query
 def flight_departments(spark, sf_dir):
-    live = World(spark, sf_dir).published().withColumn("deleted_at", F.lit(None).cast("long"))
+    live = world(spark, sf_dir).published().withColumn("deleted_at", F.lit(None).cast("long"))
     return feed.flight_departments(live).select("n_number", "ticker", "fleet_size")
 
 
@@ -194,7 +231,7 @@ def _feed_rows(rows: DataFrame, as_of: str, fleet: int) -> DataFrame:
 
 
 def _feeds(spark, sf_dir):
-    t = U.universe(spark, sf_dir, "feed_new")
+    t = U.Universe(spark, sf_dir)
     gone = F.when(F.col("o_custkey") % 40 == 0, F.lit(1_700_000_000)).cast("long")
     old = _feed_rows(t["feed_old"], "2026-08-31", 1).withColumn("deleted_at", gone).drop("o_custkey")
     return old, _feed_rows(t["feed_new"], AS_OF, 2).drop("o_custkey")
@@ -231,66 +268,66 @@ def lookup(spark, sf_dir):
 
 @query
 def eval_gold(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     return evaluate.evaluate_gold(w.gold, w.published(), w.t["aircraft"], w.trusts())
 
 
 @query
 def eval_rubric(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     return evaluate.evaluate_rubric(w.t["rubric"], w.published(), w.t["aircraft"])
 
 
 @query
 def scorecard_coverage(spark, sf_dir):
-    return evaluate.coverage(World(spark, sf_dir).published().withColumn("deleted_at", F.lit(None).cast("long")))
+    return evaluate.coverage(world(spark, sf_dir).published().withColumn("deleted_at", F.lit(None).cast("long")))
 
 
 @query
 def gold_miss_buckets(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     return analytics.gold_miss_buckets(w.gold["companies"], w.published(), w.review(), w.t["aircraft"], w.trusts())
 
 
 @query
 def name_precision(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     return analytics.name_precision(w.gold["companies"], w.published(), w.t["aircraft"])
 
 
 @query
 def alias_reasons(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     names = indexes.name_index(w.primary)
     return analytics.alias_reasons(w.gold["companies"], names, w.t["aircraft"], w.published(), w.review(), w.t["unpublished"])
 
 
 @query
 def unpublished_fps(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     return analytics.unpublished_false_positives(w.t["unpublished"], w.published())
 
 
 @query
 def harvest_stats(spark, sf_dir):
-    return analytics.harvest_analysis(World(spark, sf_dir).t["edgar_hits"])
+    return analytics.harvest_analysis(world(spark, sf_dir).t["edgar_hits"])
 
 
 @query
 def top_tickers(spark, sf_dir):
-    return analytics.top_tickers(World(spark, sf_dir).published())
+    return analytics.top_tickers(world(spark, sf_dir).published())
 
 
 @query
 def stratified_sample(spark, sf_dir):
     quotas = {"exact_legal_name": 20, "ex21_subsidiary": 10, "edgar_nnumber": 15}
-    picked = analytics.stratified_sample(World(spark, sf_dir).published(), "match_method", "n_number", quotas, 43)
+    picked = analytics.stratified_sample(world(spark, sf_dir).published(), "match_method", "n_number", quotas, 43)
     return picked.select("n_number", "match_method", "pick")
 
 
 @query
 def stress_sample(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     rows = w.published()
     listed = w.primary.select("cik", "exchange")
     sampled = rows.filter("match_method = 'edgar_nnumber'")
@@ -299,14 +336,14 @@ def stress_sample(spark, sf_dir):
 
 @query
 def review_default_verdicts(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     explicit = w.t["unpublished"].select("n_number", F.lit("operator_tp").alias("verdict"))
     return analytics.default_verdicts(w.review(), explicit)
 
 
 @query
 def verdict_merge(spark, sf_dir):
-    w = World(spark, sf_dir)
+    w = world(spark, sf_dir)
     rows = w.published().select("n_number", "match_method")
     known = w.t["unpublished"].select("n_number", F.lit(True).alias("bad"))
     verdicts = rows.select("n_number").join(known, "n_number", "left").select(
@@ -317,13 +354,13 @@ def verdict_merge(spark, sf_dir):
 
 @query
 def reopen_rule(spark, sf_dir):
-    misses = World(spark, sf_dir).decided().select(F.col("dest").alias("reason"), "d.ticker")
+    misses = world(spark, sf_dir).decided().select(F.col("dest").alias("reason"), "d.ticker")
     return analytics.reopen_rule(misses)
 
 
 @query
 def validate_rubric(spark, sf_dir):
-    return gates.rubric_violations(World(spark, sf_dir).t["rubric"])
+    return gates.rubric_violations(world(spark, sf_dir).t["rubric"])
 
 
 @query

@@ -6,6 +6,8 @@ tables on the Spark side; the comparison SQL restates them on its own.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,8 +58,8 @@ TABLES: dict[str, str] = {
             when c_custkey % 7 = 2 then 'LONE STAR ' || cast(c_custkey as string) || ' HOLDINGS'
             when c_custkey % 29 = 11 then 'LLC'
             when c_custkey % 5 = 0 then 'The ' || nm || ' LLC' else nm || ', Inc.' end as registrant_name,
-          {_STREET.format(k='(c_custkey % n_sup)').replace('Street', 'ST')} as street,
-          'TOWN ' || cast((c_custkey % n_sup) % 20 as string) as city, 'TX' as state,
+          {_STREET.format(k='(c_custkey % (select n_sup from sizes))').replace('Street', 'ST')} as street,
+          'TOWN ' || cast((c_custkey % (select n_sup from sizes)) % 20 as string) as city, 'TX' as state,
           case when c_custkey % 37 = 2 then '4' else '5' end as type_aircraft,
           case when c_custkey % 31 = 1 then '1' else '5' end as type_engine,
           case when c_custkey % 41 = 3 then 'A' else 'V' end as status_code,
@@ -65,32 +67,34 @@ TABLES: dict[str, str] = {
           case when c_custkey % 43 = 5 or c_custkey % 47 = 6 then 'BOEING' else 'GULFSTREAM AEROSPACE' end as make,
           case when c_custkey % 43 = 5 then '737-800' when c_custkey % 47 = 6 then '737 BBJ' else 'G' || cast(c_custkey % 10 as string) end as model,
           c_custkey % 53 = 7 as fractional_owner
-        from customer join base on k = c_custkey cross join sizes""",
+        from customer join base on k = c_custkey""",
     "subsidiaries": f"""
-        select {_cik('cast(floor(k / 5.0) as bigint) % n_sup')} as parent_cik, 'Parent' as parent_name, nm || ' Aviation LLC' as subsidiary_name,
+        select {_cik('cast(floor(k / 5.0) as bigint) % (select n_sup from sizes)')} as parent_cik, 'Parent' as parent_name, nm || ' Aviation LLC' as subsidiary_name,
           case when k % 15 = 0 then cast(5000 + k as string) || ' Long Road' else '' end as parent_street,
           case when k % 15 = 0 then 'Ville' else '' end as parent_city, 'TX' as parent_state
-        from base cross join sizes where k % 5 = 0
+        from base where k % 5 = 0
         union all
-        select {_cik('cast(floor(k / 3.0) as bigint) % n_sup')}, 'Parent', nm || ' LLC', '', '', ''
-        from base cross join sizes where k % 3 = 0""",
+        select {_cik('cast(floor(k / 3.0) as bigint) % (select n_sup from sizes)')}, 'Parent', nm || ' LLC', '', '', ''
+        from base where k % 3 = 0""",
     "edgar_hits": f"""
-        select {_cik('((event_id % 5000) + case when event_id % 7 = 0 then 1 else 0 end) % n_sup')} as cik,
+        select {_cik('((event_id % 5000) + case when event_id % 7 = 0 then 1 else 0 end) % (select n_sup from sizes)')} as cik,
           case when event_id % 13 = 0 then 'tev' else null end as ticker, 'acc' || cast(event_id as string) as accession, '10-K' as form,
           'n-' || cast(100 + event_id % 5000 as string) as n_number, '' as snippet,
           case when event_id % 22 = 0 then '' else 'https://filings.example/' || cast(event_id as string) end as filing_url,
           event_id % 11 = 0 as keyword_hit, event_id as ord
-        from events cross join sizes""",
+        from events""",
+    "licensed": """
+        select o_custkey, o_orderkey, (o_custkey * 3 + case when o_orderkey % 9 = 0 then 1 else 0 end) % (select n_part from sizes) as pk from orders""",
     "licences": """
         select 'N' || cast(100 + o_custkey as string) as n_number,
           nm || case when o_orderkey % 7 = 0 then ' TRUSTEE' else ' INC' end as licensee_name,
           lpad(cast(o_orderkey as string), 10, '0') as uls_id
-        from orders cross join sizes join base on k = (o_custkey * 3 + case when o_orderkey % 9 = 0 then 1 else 0 end) % n_part""",
+        from licensed join base on k = pk""",
     "overrides": f"""
         select 'N' || cast(100 + c_custkey as string) as n_number, 'OVR' || cast(c_custkey % 5 as string) as ticker,
-          {_cik('c_custkey % n_sup')} as cik, case when c_custkey % 2 = 0 then '' else 'NAMED CO' end as company_name,
+          {_cik('c_custkey % (select n_sup from sizes)')} as cik, case when c_custkey % 2 = 0 then '' else 'NAMED CO' end as company_name,
           'doc ' || cast(c_custkey as string) as citation, c_custkey as ord
-        from customer cross join sizes where c_custkey % 59 = 8""",
+        from customer where c_custkey % 59 = 8""",
     "unpublished": f"""
         select 'N' || cast(100 + c_custkey as string) as n_number, {_letters('c_custkey')} as must_not_ticker, 'audit' as citation, c_custkey as ord
         from customer where c_custkey % 9 = 1""",
@@ -98,17 +102,17 @@ TABLES: dict[str, str] = {
         select lower(tick) as ticker, {_cik('s')} as cik, case when s % 2 = 0 then nm || ' Corp' else '' end as company_name,
           nm || ' LLC' as registrant, s as ord from company_rows where s % 3 = 0""",
     "gold_tails": f"""
-        select 'N' || cast(100 + c_custkey as string) as n_number, {_letters('c_custkey % n_sup')} as ticker, {_cik('c_custkey % n_sup')} as cik,
-          '' as company_name, 'gold' as citation, c_custkey as ord from customer cross join sizes where c_custkey % 21 = 4
+        select 'N' || cast(100 + c_custkey as string) as n_number, {_letters('c_custkey % (select n_sup from sizes)')} as ticker, {_cik('c_custkey % (select n_sup from sizes)')} as cik,
+          '' as company_name, 'gold' as citation, c_custkey as ord from customer where c_custkey % 21 = 4
         union all select 'N99999', 'TAAA', '0000000001', '', 'gold', 999999999""",
     "rubric": f"""
         select 'N' || cast(100 + c_custkey as string) as n_number,
-          case when c_custkey % 6 = 5 or c_custkey % 4 = 1 then '' else {_letters('c_custkey % n_sup')} end as ticker,
-          case when c_custkey % 6 <> 5 and c_custkey % 4 = 1 then {_letters('c_custkey % n_sup')} else '' end as must_not_ticker,
+          case when c_custkey % 6 = 5 or c_custkey % 4 = 1 then '' else {_letters('c_custkey % (select n_sup from sizes)')} end as ticker,
+          case when c_custkey % 6 <> 5 and c_custkey % 4 = 1 then {_letters('c_custkey % (select n_sup from sizes)')} else '' end as must_not_ticker,
           case c_custkey % 6 when 0 then 'identity_easy' when 1 then 'identity_hard' when 2 then 'subsidiary_tp' when 3 then 'filing'
             when 4 then 'namesake' else 'not_our_join' end as stratum,
           case when c_custkey % 5 < 2 then 'train' else 'holdout' end as split, 'cited' as citation, c_custkey as ord
-        from customer cross join sizes""",
+        from customer""",
     "feed_old": """
         select o_custkey, o_orderpriority as ticker, o_orderkey, o_orderstatus,
           row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn
@@ -126,28 +130,30 @@ def cte(*names: str) -> str:
     return ",\n".join(f"{n} AS ({TABLES[n]})" for n in keep)
 
 
-def universe(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """The named tables over ``sf_dir``; plans stay lazy, so unused ones cost nothing."""
-    frames = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in SOURCES}
-    keep = list(TABLES)[: max(list(TABLES).index(n) for n in names) + 1]
-    for n in keep:
-        sql = TABLES[n]
-        used = {k: df for k, df in frames.items() if _uses(sql, k)}
-        for k in used:
-            sql = _replace(sql, k)
-        frames[n] = spark.sql(sql, **used)
-    return frames
+class Universe(dict):
+    """name -> DataFrame over ``sf_dir``; a table and what it is made of are built when first asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
 
-def _uses(sql: str, name: str) -> bool:
-    import re
+    def __missing__(self, name: str) -> DataFrame:
+        if name in SOURCES:
+            self[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        else:
+            sql = TABLES[name]
+            used = {k: self[k] for k in (*SOURCES, *TABLES) if _uses(sql, k)}
+            for k in used:
+                sql = _replace(sql, k)
+            self[name] = self.spark.sql(sql, **used)
+        return self[name]
 
+
+def _uses(sql: str, name: str) -> bool:
     return re.search(rf"\b(?:from|join)\s+{name}\b", sql) is not None
 
 
 def _replace(sql: str, name: str) -> str:
-    import re
-
     return re.sub(rf"\b(from|join)\s+{name}\b", rf"\1 {{{name}}}", sql)
 
 
