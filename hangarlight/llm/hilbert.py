@@ -110,7 +110,7 @@ def keyed(vectors: DataFrame, dim: int, curves: int) -> DataFrame:
 
 def on_curve(rows: DataFrame, curve: int, block: int) -> DataFrame:
     """vec_id, vector, block: the rows in curve order, cut into stretches of ``block`` rows."""
-    parts = max(1, rows.sparkSession._jsparkSession.sessionState().conf().numShufflePartitions())
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.select("vec_id", "vector", F.col("keys")[curve].alias("key")).repartitionByRange(parts, "key", "vec_id").sortWithinPartitions("key", "vec_id")
     # The id holds the partition in its high bits and the row in its low 33.
     numbered = materialize(ordered.withColumn("at", F.monotonically_increasing_id()))
@@ -173,10 +173,18 @@ def _top(found: DataFrame, top: int) -> DataFrame:
 
 def calibrate(blocks: list[DataFrame], queries: DataFrame, top: int, recall: float) -> tuple[int, int, float]:
     """(curves, window in blocks, measured recall) of the cheapest choice that holds ``recall`` of the true neighbours."""
-    sample = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_QUERIES).withColumn("one", F.lit(1))
-    pack = _packed(sample, "one", "q_ids", "q").drop("one")
-    # One row of at most SAMPLE_QUERIES vectors meets each block.
-    truth = materialize(_top(_candidates(_packed(blocks[0], "block", "v_ids", "v").crossJoin(F.broadcast(pack)), top), top).select("query_id", "vec_id"))
+    sample = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_QUERIES).collect()  # a bounded set of queries
+    q_ids = np.array([r["vec_id"] for r in sample], dtype=np.int64)
+    q = np.array([r["vector"] for r in sample], dtype=np.float64)
+
+    def compare(batches):
+        for batch in batches:
+            if len(q_ids) and batch.num_rows:
+                found = _best(q_ids, q, batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)), top)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
+
+    scored = blocks[0].select("vec_id", "vector").mapInArrow(compare, "query_id long, vec_id long, score double")
+    truth = materialize(_top(scored, top).select("query_id", "vec_id"))
     n_blocks = blocks[0].agg(F.max("block")).first()[0] + 1
     gaps = truth
     for c, placed in enumerate(blocks):
