@@ -32,6 +32,8 @@ WINDOW = 10
 BLOCK_PHRASES = 200_000
 SHARD_WORDS = 1 << 21
 SHARD_BYTES = 32 << 20
+#: Shards of the filter, which runs beside whole rows in memory, are smaller.
+DROP_WORDS = 1 << 19
 
 
 class Phrases:
@@ -257,6 +259,14 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     )
 
 
+def _hit_documents(phrases: Phrases, shard: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Which documents of a shard, given as (symbols, word bounds) of its parts, hold an occurrence."""
+    shift = np.cumsum([0, *(len(s) for s, _ in shard)])
+    bounds = np.concatenate([b[:-1] + s for (_, b), s in zip(shard, shift, strict=False)] + [shift[-1:]])
+    _, at = search_shard(phrases, np.concatenate([s for s, _ in shard]), bounds)
+    return np.unique(np.searchsorted(bounds, at, side="right") - 1)
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK_PHRASES) -> DataFrame:
     """The documents without any hit word, with all their columns, judged in place row by row."""
     spark = docs.sparkSession
@@ -266,18 +276,15 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
         def run(batches, phrases=phrases):
             for batch in batches:
                 keep = np.ones(batch.num_rows, dtype=bool)
-                parts = [(row, *words(data, offsets, ALNUM)) for row, data, offsets in chunks(batch.column(at_text))]
-                first, size, shard = 0, 0, []
-                for k, (row, hashes, _, _, bounds) in enumerate(parts):
+                shard, first, size = [], 0, 0
+                # Only the symbols of a shard are held, not the hashes of a batch.
+                for row, data, offsets in chunks(batch.column(at_text)):
+                    hashes, _, _, bounds = words(data, offsets, ALNUM)
                     shard.append((phrases.value.encode(hashes), bounds))
                     size += len(hashes)
-                    if size < SHARD_WORDS and k + 1 < len(parts):
-                        continue
-                    shift = np.cumsum([0, *(len(s) for s, _ in shard)])
-                    bounds = np.concatenate([b[:-1] + s for (_, b), s in zip(shard, shift, strict=False)] + [[shift[-1]]])
-                    spans, _ = hits(phrases.value, np.concatenate([s for s, _ in shard]), bounds)
-                    keep[[first + d for d in spans]] = False
-                    first, size, shard = first + len(bounds) - 1, 0, []
+                    if size >= DROP_WORDS or row + len(offsets) - 1 == batch.num_rows:
+                        keep[first + _hit_documents(phrases.value, shard)] = False
+                        shard, first, size = [], row + len(offsets) - 1, 0
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -32,6 +32,8 @@ FEATURES = 4_096
 MIN_DOCS, MIN_Z = 3, 3.0
 PREFIXES = (4, 5, 6)
 GRADES = 3
+#: Features that a task holds before it passes on their partial counts.
+HELD_FEATURES = 1 << 20
 TOXIC_AT = 0.5  # probability of grade 1 or more
 
 
@@ -66,22 +68,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
 def screen(sample: DataFrame, most: int = FEATURES) -> np.ndarray:
     """Hashes of features that stand in toxic documents significantly more often than in clean ones."""
 
+    def counted(hashes, toxic):
+        found, where = np.unique(np.concatenate(hashes), return_inverse=True)
+        n, t = np.bincount(where), np.bincount(where, weights=np.concatenate(toxic)).astype(np.int64)
+        for k in range(0, len(n), 100_000):
+            part = slice(k, k + 100_000)
+            columns = [pa.array(found[part].view(np.int64)), pa.array(n[part].astype(np.int64)), pa.array(t[part])]
+            yield pa.RecordBatch.from_arrays(columns, names=["f", "n", "t"])
+
     def count(batches):
-        hashes, toxic = [], []
+        hashes, toxic, held = [], [], 0
         for batch in batches:
-            flag = batch.column(0).to_numpy(zero_copy_only=False)
+            flag = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int8)
             for row, found, at in features(batch.column(1)):
                 hashes.append(found)
                 toxic.append(np.repeat(flag[row : row + len(at) - 1], np.diff(at)))
+                held += len(found)
+                if held >= HELD_FEATURES:
+                    yield from counted(hashes, toxic)
+                    hashes, toxic, held = [], [], 0
         if hashes:
-            all_hashes, where = np.unique(np.concatenate(hashes), return_inverse=True)
-            n = np.bincount(where)
-            t = np.bincount(where, weights=np.concatenate(toxic)).astype(np.int64)
-            for k in range(0, len(n), 100_000):
-                part = slice(k, k + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(all_hashes[part].view(np.int64)), pa.array(n[part].astype(np.int64)), pa.array(t[part])], names=["f", "n", "t"]
-                )
+            yield from counted(hashes, toxic)
 
     totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
     n_toxic, n_clean = totals["t"], totals["n"] - totals["t"]
