@@ -103,6 +103,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: CountCache, limit:
     needed = keyed.join(missing, "digest").filter(F.col("doc_id") == F.col("first_id")).select("doc_id")
     skipped = materialize(skipped.distinct().join(needed.distinct(), "doc_id", "left_anti"))
     misses = join_ids(docs, skipped, "doc_id", "left_anti").select(digest.alias("digest"), "text")
+    if keyed.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count():
+        # Ids alone do not tell these rows apart: settle the few that are left by digest.
+        misses = misses.join(missing.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
     cache.append(encode_counts(misses, tokenizer_path), version)
     counts = cache.read(version)
     return keyed.join(counts, "digest").select(

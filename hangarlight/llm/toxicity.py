@@ -7,7 +7,7 @@ indicative features as the median toxic document (labels have one flag only, so
 derived). All thresholds share one weight vector; the output is the expected severity.
 
 Fitting uses a bounded sample of labelled rows (``SAMPLE`` documents, those smallest by a seeded digest
-of their id) and screens features by the log-odds of their document counts in it. The model is at most
+of their id) and screens features by the likelihood ratio of their document counts in it. The model is at most
 ``FEATURES`` weights; every document is scored whole, in place, without a shuffle.
 
 Defined results: null and blank texts have no features and get the clean side's score. Labels with null
@@ -29,7 +29,7 @@ from .wordhash import _VALUES, ALNUM, _power_tables, chunks, distinct, mix64, wo
 
 SAMPLE = 8_000
 FEATURES = 4_096
-MIN_DOCS, MIN_Z = 3, 3.0
+MIN_DOCS = 3
 PREFIXES = (4, 5, 6)
 GRADES = 3
 #: Features that a task holds before it passes on their partial counts.
@@ -95,10 +95,16 @@ def screen(sample: DataFrame, most: int = FEATURES) -> np.ndarray:
     if not n_toxic or not n_clean:
         return np.zeros(0, np.uint64)
     counts = sample.mapInArrow(count, "f long, n long, t long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    counts = materialize(counts.filter(F.col("n") >= MIN_DOCS))
+    share = n_toxic / (n_toxic + n_clean)
     clean = F.col("n") - F.col("t")
-    odds = F.log((F.col("t") + 0.5) / (n_toxic - F.col("t") + 0.5)) - F.log((clean + 0.5) / (n_clean - clean + 0.5))
-    z = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (clean + 0.5))
-    best = counts.filter(F.col("n") >= MIN_DOCS).withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "f").limit(most)
+    # Log-likelihood ratio of the toxic share among the feature's documents against the sample's.
+    ratio = F.col("t") * F.log(F.col("t") / F.col("n") / share)
+    ratio += F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - share))).otherwise(0.0)
+    # exp(-ratio) bounds the chance of such a count, so about one feature passes by chance.
+    least = np.log(max(counts.count(), 1))
+    indicative = counts.filter(F.col("t") > F.col("n") * share).withColumn("ratio", ratio).filter(F.col("ratio") >= float(least))
+    best = indicative.orderBy(F.desc("ratio"), "f").limit(most)
     return np.sort(np.array([r["f"] for r in best.select("f").collect()], dtype=np.int64).view(np.uint64))
 
 

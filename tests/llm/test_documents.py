@@ -1,0 +1,233 @@
+"""Operators on documents, against brute force and on odd inputs."""
+
+import random
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from hangarlight.llm import decontaminate, mixing, neardup, pii, reshard, tokencount, toxicity
+from hangarlight.llm.queries import ORACLES, QUERIES
+
+from ..compare import assert_same, connect
+from . import brute
+
+FOLDER = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, id int, digest string, kept string, size string, shard int, b int, start int, n_tokens string"
+MODEL = str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def frame(spark, rows):
+    """Rows (doc_id, text) with the columns of documents and others whose names clash with inner ones."""
+    return spark.createDataFrame([(i, t, None if k % 5 == 0 else "en", None if k % 7 == 0 else "src0", 1, k, "d", "k", "s", k, k, k, "n") for k, (i, t) in enumerate(rows)], SCHEMA)
+
+
+def odd_rows():
+    """Nulls, empty and blank texts, few words, a very long text, copies, and repeated rows."""
+    long = " ".join(f"w{k}" for k in range(60_000))
+    tie = "one two three four five six seven eight nine ten"
+    return [(None, "a null id " + tie), (None, None), (1, None), (2, ""), (3, " \t\n "), (4, "two words"), (5, "Two WORDS"), (6, long), (7, long + " end"), (8, tie), (8, tie), (9, tie), (10, "ü" * 50)]
+
+
+def copies(seed, groups=25):
+    """Random texts with groups of exact and near copies on both sides of the threshold, one group large."""
+    rng = random.Random(seed)
+    vocabulary = [f"v{k}" for k in range(400)]
+    rows = []
+    for g in range(groups):
+        words = rng.choices(vocabulary, k=rng.choice([3, 6, 40, 80, 200]))
+        for _ in range(60 if g == 0 else rng.randint(1, 6)):
+            copy = list(words)
+            for _ in range(rng.randint(0, max(1, len(words) // 60))):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            rows.append((len(rows) + 1, " ".join(copy)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(FOLDER)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_its_sql(spark, con, name):
+    assert_same(QUERIES[name](spark, FOLDER), con, ORACLES[name])
+
+
+@pytest.mark.parametrize("rows", [copies(1), copies(2), odd_rows()], ids=["copies1", "copies2", "odd"])
+def test_near_duplicates_equal_all_pairs(spark, rows):
+    found = neardup.near_duplicates(frame(spark, rows)).collect()
+    wanted = brute.near_duplicates(rows)
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+    for r in found:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id) == wanted[r.doc_id] and r.kept == (r.doc_id == r.component_id)
+
+
+def test_members_linked_only_outside_their_hub_are_found(spark):
+    """x and y resemble each other but neither resembles the passage that puts them into one bucket with many others."""
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(k, " ".join([*passage, *(f"d{k}x{j}" for j in range(12 + k % 5))])) for k in range(1, 60)]
+    own = [f"own{j}" for j in range(150)]
+    rows += [(100, " ".join([*passage, *own])), (101, " ".join([*passage, *own[:-4], "a", "b"]))]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(frame(spark, rows)).collect()}
+    assert found == brute.near_duplicates(rows)
+
+
+def test_dedup_keeps_all_columns_and_one_of_each_group(spark):
+    rows = copies(3)
+    docs = frame(spark, rows)
+    kept = neardup.dedup(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {c for _, c in brute.near_duplicates(rows).values()}
+
+
+def test_token_counts_are_the_librarys_and_cached(spark, tmp_path):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rows = [*odd_rows(), (20, "<s> special </s> strings"), (21, "tabs\tand\nlines")]
+    cache = tokencount.CountCache(spark, str(tmp_path / "cache"))
+    for _ in range(2):
+        found = tokencount.token_counts(frame(spark, rows), MODEL, cache).collect()
+        wanted = sorted((str(i), len((t or "").encode()), len(library.encode(t or ""))) for i, t in rows)
+        assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in found) == wanted
+        assert all(r.over_limit == (r.n_tokens > 4096) for r in found)
+        # Each distinct text is encoded once, over both runs.
+        assert spark.read.parquet(cache.path).count() == len({t or "" for _, t in rows})
+
+
+@pytest.mark.parametrize("block", [200_000, 7])
+def test_contamination_equals_brute_force(spark, block):
+    rng = random.Random(5)
+    items = [(k, " ".join(rng.choices("abcdefgh", k=rng.choice([1, 4, 9, 10, 11, 25])))) for k in range(1, 9)]
+    items = [(i, t + f" q{i}") for i, t in items] + [(20, None), (21, " -- "), (22, "tail WORDS, here")]
+    rows = [*odd_rows()[:6], *odd_rows()[8:]]
+    for k in range(40):
+        words = rng.choices("abcdefgh", k=rng.randint(0, 60))
+        if k % 2:
+            words[10:10] = (rng.choice(items)[1] or "").split()
+        rows.append((100 + k, " ".join(words).upper() if k % 3 else ", ".join(words)))
+    benchmark = spark.createDataFrame([*items, (None, "null id")], "item_id long, text string")
+    docs = frame(spark, rows)
+    found = decontaminate.contamination(docs, benchmark, block=block).collect()
+    wanted = Counter()
+    for i, t in rows:
+        n, hit, which = brute.contamination(t, items)
+        wanted[(i, n, hit, tuple(sorted(which)))] += 1
+    assert Counter((r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), tuple(sorted(r["items"]))) for r in found) == wanted
+    clean = decontaminate.drop_contaminated(docs, benchmark, block=block)
+    assert clean.columns == docs.columns
+    assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, t in rows if not brute.contamination(t, items)[1])
+
+
+def test_spans_point_at_the_bytes_of_the_hit_words(spark):
+    benchmark = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    found = decontaminate.contamination(frame(spark, [(1, "ü Alpha, BETA!")]), benchmark).first()
+    span = found.spans[0]
+    assert "ü Alpha, BETA!".encode()[span["from"] : span["to"]].decode() == "Alpha, BETA"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a.@-+1 4()é", max_size=60))
+def test_base_spans_equal_the_patterns(text):
+    assert pii.base_spans(text) == brute.personal_data(text)
+
+
+def test_personal_data_report(spark):
+    rows = [*odd_rows(), (30, "Card 4111 1111 1111 1111, mail a.b@c.de, call +49 (30) 123-4567, host 10.0.0.300 and 10.0.0.3"), (31, "iban DE89 3704 0044 0532 0130 00")]
+    found = {r.doc_id: r for r in pii.span_report(frame(spark, rows)).collect()}
+    assert (found[30].n_email, found[30].n_ip, found[30].n_card, found[30].n_phone) == (1, 1, 1, 1)
+    assert found[30].spans == ",".join(f"{k}:{s}:{e}" for s, e, k in brute.personal_data(rows[-2][1]))
+    assert found[31].spans.startswith("iban:5:")
+    assert found[1].spans == "" and found[2].n_card == 0
+    assert "<card>" in {r.doc_id: r.text for r in pii.redact(frame(spark, rows)).collect()}[30]
+
+
+def test_severity_separates_held_out_documents(spark):
+    """Fitted on half of the labels, judged on the other half; the labels themselves hold some noise."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = toxicity.train(docs, labels.filter("doc_id % 2 = 0"))
+    rows = toxicity.score_documents(docs, model).join(labels.filter("doc_id % 2 = 1").select("doc_id", F.col("toxic").alias("truth")), "doc_id").collect()
+    toxic, clean = [r for r in rows if r.truth], [r for r in rows if not r.truth]
+    assert sum(r.toxic for r in toxic) >= 0.85 * len(toxic)
+    assert sum(r.toxic for r in clean) <= 0.01 * len(clean)
+    assert all(r.severity >= r.p_toxic for r in rows)
+
+
+def test_toxicity_on_odd_rows(spark):
+    rows = [*odd_rows(), *((50 + k, f"harmless words number {k}") for k in range(20)), *((80 + k, f"vile slurs number {k}") for k in range(20))]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([*((50 + k, 1, 0) for k in range(20)), *((80 + k, 1, 1) for k in range(20)), (None, 1, 1), (50, 1, None), (80, 1, 1)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels)
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _ in rows if i is None or i < 80)
+    empty = toxicity.train(docs, labels.limit(0))
+    assert not [r for r in toxicity.score_documents(docs, empty).collect() if r.toxic]
+
+
+def test_mixture_takes_its_budget_and_nothing_twice_in_one_epoch(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = mixing.selection(docs, 0.5, max_epochs=3).collect()
+    assert len({(r.doc_id, r.epoch) for r in rows}) == len(rows)
+    taken, budget, largest = defaultdict(int), {}, defaultdict(int)
+    for r in rows:
+        leaf = (r.domain, r.lang, r.source)
+        taken[leaf] += r.n_tokens
+        budget[leaf] = r.leaf_budget
+        largest[leaf] = max(largest[leaf], r.n_tokens)
+    assert all(budget[x] <= taken[x] < budget[x] + largest[x] for x in budget)
+    total = docs.select(F.sum(mixing.token_length(F.col("text")))).first()[0]
+    assert abs(sum(budget.values()) - int(total * 0.5)) <= len(budget)
+    mixed = mixing.mix(docs, 0.5)
+    assert mixed.columns == docs.columns and mixed.count() == mixed.select("doc_id").distinct().count()
+
+
+@pytest.mark.parametrize("rows", [odd_rows(), copies(4)], ids=["odd", "copies"])
+def test_shards_are_near_equal_and_slots_gapless(spark, rows):
+    found = reshard.reshard(frame(spark, rows), shards=5, old_shards=3).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+    slots, sizes = defaultdict(list), defaultdict(int)
+    for r in found:
+        slots[r.shard].append(r.slot)
+        sizes[r.shard] += r["size"]
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    largest = max(r["size"] for r in found)
+    assert all(abs(sizes[k] - sum(sizes.values()) / 5) <= 2 * largest for k in range(5))
+
+
+def test_flow_moves_the_fewest_bytes():
+    supply, room = [70, 10, 40], [30, 30, 30, 30]
+    flow = reshard.min_cost_flow(supply, room, lambda i, j: int(i != j))
+    assert [sum(v for (i, _), v in flow.items() if i == k) for k in range(3)] == supply
+    assert all(sum(v for (_, j), v in flow.items() if j == k) <= 30 for k in range(4))
+    assert sum(v for (i, j), v in flow.items() if i != j) == 120 - (30 + 10 + 30)
+
+
+def test_rewrite_holds_every_document_of_touched_shards(spark, tmp_path):
+    docs = frame(spark, copies(6)).drop("shard")
+    placed = reshard.reshard(docs, shards=4, old_shards=3)
+    numbers = reshard.rewrite(docs, placed, str(tmp_path / "out"))
+    wanted = sorted((r.shard, r.doc_id) for r in placed.collect() if r.shard in numbers)
+    assert sorted((r.shard, r.doc_id) for r in spark.read.parquet(str(tmp_path / "out")).select("shard", "doc_id").collect()) == wanted
+
+
+def test_empty_tables(spark, tmp_path):
+    docs = frame(spark, [(1, "x")]).limit(0)
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels)
+    cache = tokencount.CountCache(spark, str(tmp_path / "none"))
+    results = [neardup.near_duplicates(docs), neardup.dedup(docs), tokencount.token_counts(docs, MODEL, cache), decontaminate.report(docs, benchmark)]
+    results += [decontaminate.drop_contaminated(docs, benchmark), mixing.selection(docs), mixing.mix(docs), reshard.reshard(docs)]
+    results += [toxicity.score_documents(docs, model), toxicity.drop_toxic(docs, model), pii.span_report(docs)]
+    assert [r.count() for r in results] == [0] * len(results)
+    assert decontaminate.report(frame(spark, [(1, "x y")]), benchmark).first().contaminated is False
