@@ -55,10 +55,8 @@ def extract_hits(texts: DataFrame, allow: DataFrame | None = None) -> DataFrame:
     """
     found = texts.select("doc_id", "text", F.regexp_extract_all("text", F.lit(f"({D.N_NUMBER_PATTERN})"), F.lit(1)).alias("ns")).filter(F.size("ns") > 0)
     pieces = F.split("text", D.N_NUMBER_PATTERN, -1)
-    ends = F.transform(
-        F.sequence(F.lit(1), F.size("ns")),
-        lambda i: F.struct(F.get("ns", i - 1).alias("n"), F.length(F.get(F.col("pieces"), i - 1)).alias("gap")),
-    )
+    # Both arrays are arguments, so the text is split once and not once a match.
+    ends = F.zip_with("ns", F.slice("pieces", F.lit(1), F.size("ns")), lambda n, piece: F.struct(n.alias("n"), F.length(piece).alias("gap")))
     walked = F.aggregate(
         "steps",
         F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<n:string,at:int>>").alias("out")),

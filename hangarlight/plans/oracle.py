@@ -274,6 +274,16 @@ def oracles() -> dict[str, str]:
               lower(substr(text, greatest(0, pos - 800) + 1, pos + length(n_number) + 800 - greatest(0, pos - 800))) AS wide FROM p)
             SELECT doc_id, n_number, pos::INTEGER AS pos, snippet FROM s WHERE """
         + _any("lower(snippet)", D.FILING_KEYWORDS) + " OR " + _any("wide", D.FILING_KEYWORDS),
+        "edgar_extract_documents": """WITH b AS (SELECT doc_id, coalesce(doc_id, 0) AS d, coalesce(text, '') AS body, length(coalesce(text, '')) AS n FROM documents),
+            t AS (SELECT doc_id, ' The corporate aircraft N' || (100 + d % 900) || ' ' || substr(body, 1, n // 4) || ' dry lease of N' || (3000 + d % 6000) || ' ' || substr(body, n // 4 + 1, n // 2 - n // 4)
+              || ' bond series N' || (10000 + d % 80000) || ' ' || substr(body, n // 2 + 1, n - n // 2) || ' n-number N' || (2000 + d % 7) || ' ' AS text FROM b),
+            r AS (SELECT row_number() OVER () AS k, *, regexp_extract_all(text, '\\bN[1-9][0-9A-Z]{2,4}\\b') AS ns, string_split_regex(text, '\\bN[1-9][0-9A-Z]{2,4}\\b') AS gaps FROM t),
+            m AS (SELECT k, doc_id, text, unnest(range(1, len(ns) + 1)) AS i, unnest(ns) AS n_number, unnest(list_transform(gaps[1:len(ns)], lambda x: length(x))) AS gap FROM r),
+            p AS (SELECT doc_id, text, n_number, sum(gap + length(n_number)) OVER (PARTITION BY k ORDER BY i) - length(n_number) AS pos FROM m),
+            s AS (SELECT doc_id, n_number, pos, trim(regexp_replace(substr(text, greatest(0, pos - 180)::BIGINT + 1, (pos + length(n_number) + 180 - greatest(0, pos - 180))::BIGINT), '[\\t-\\r ]+', ' ', 'g')) AS snippet,
+              lower(substr(text, greatest(0, pos - 800)::BIGINT + 1, (pos + length(n_number) + 800 - greatest(0, pos - 800))::BIGINT)) AS wide FROM p)
+            SELECT doc_id, n_number, pos::INTEGER AS pos, snippet FROM s WHERE """
+        + _any("lower(snippet)", D.FILING_KEYWORDS) + " OR " + _any("wide", D.FILING_KEYWORDS),
         "html_plain_text": """SELECT page_id, length(regexp_replace(html, '<[^>]+>', ' ', 'g')) AS n_chars, md5(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&middot;', chr(183)), '&copy;', chr(169)), '&amp;', '&')) AS text_md5 FROM pages""",
         "keyword_documents": f"SELECT doc_id, {_any('lower(text)', D.FILING_KEYWORDS)} AS keyword FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)",
         "valid_dates": """SELECT o_orderkey, true AS day_ok, false AS slash_ok, true AS instant_ok FROM orders""",

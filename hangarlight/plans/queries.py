@@ -374,6 +374,27 @@ def edgar_extract(spark, sf_dir):
     return harvest.extract_hits(docs.select("doc_id", text.alias("text")))
 
 
+@query
+def edgar_extract_documents(spark, sf_dir):
+    """The whole text of every document, null as empty, with mentions at its front, quarter, middle and end."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    body, doc = F.coalesce("text", F.lit("")), F.coalesce("doc_id", F.lit(0))
+    n = F.length(body)
+
+    def piece(start: Column, end: Column) -> Column:
+        return F.substring(body, start + 1, end - start)
+
+    def mention(words: str, low: int, count: int) -> Column:
+        return F.concat(F.lit(f" {words} N"), (low + doc % count).cast("string"), F.lit(" "))
+
+    quarter, middle = F.floor(n / 4).cast("int"), F.floor(n / 2).cast("int")
+    text = F.concat(
+        mention("The corporate aircraft", 100, 900), piece(F.lit(0), quarter), mention("dry lease of", 3000, 6000), piece(quarter, middle),
+        mention("bond series", 10000, 80000), piece(middle, n), mention("n-number", 2000, 7),
+    )
+    return harvest.extract_hits(docs.select("doc_id", text.alias("text")))
+
+
 @query
 def html_plain_text(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
