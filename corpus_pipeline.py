@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The new shard and slot of each document."""
-    return reshard.reshard(docs)
+    return reshard.reshard(docs).drop("row_hash")
 
 
 STAGES = [

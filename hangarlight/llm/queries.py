@@ -40,7 +40,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reshard.reshard(table(spark, sf_dir, "documents"))
+    return reshard.reshard(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ over (shard, size class, digest range) cells, so no shard is sorted in one task.
 
 Defined results: null text counts 0 bytes plus the row overhead, its CRC is that of the empty text. Rows
 with a null id lie at the start of their cell's order. Rows repeating an id and text may land in
-different shards, each in one slot.
+different shards, each in one slot; a hash of all columns orders them, and rows alike in all columns are
+interchangeable.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import heapq
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialize
 
@@ -28,6 +30,8 @@ SHARDS = 40
 OVERHEAD = 16
 #: Digest ranges of a size class of a shard.
 CELLS = 256
+#: Bytes of text in a file of a shard, as far as its cells allow.
+CHUNK = 64 << 20
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
@@ -94,25 +98,45 @@ def old_shard(doc_id: Column, shards: int = OLD_SHARDS) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(shards)).cast("int")
 
 
-def narrow_rows(docs: DataFrame, old: Column) -> DataFrame:
-    """doc_id, size, text_crc32, old shard, and the cell and order inside the shard; texts stay behind."""
+def row_hash(docs: DataFrame) -> Column:
+    """Of all columns, nulls told apart by place: tells rows that repeat an id and text from each other."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return F.xxhash64(*[c.isNull() for c in columns], *columns)
+
+
+def narrow_columns(docs: DataFrame, old: Column) -> list[Column]:
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(
+    return [
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
+        row_hash(docs).alias("row_hash"),
         old.alias("old"),
-    )
+    ]
+
+
+def with_cells(rows: DataFrame) -> DataFrame:
     digest = F.xxhash64("doc_id", "text_crc32")
     # Larger size classes first; inside a class the order is the digest's.
     size_class = F.lit(64) - F.floor(F.log2("size")).cast("int")
     return rows.withColumn("digest", digest).withColumn("cell", size_class * CELLS + F.shiftrightunsigned("digest", 56).cast("int"))
 
 
+def narrow_rows(docs: DataFrame, old: Column) -> DataFrame:
+    """doc_id, size, text_crc32, row_hash, old shard, and the cell and order inside the shard; texts stay behind."""
+    return with_cells(docs.select(*narrow_columns(docs, old)))
+
+
+def place() -> Column:
+    """A row's place on the line of its shard; only rows alike in all columns share one. Free of nulls."""
+    known, number = F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id")
+    return F.struct("cell", "digest", known, number, "size", "row_hash")
+
+
 def running(rows: DataFrame, key: str, value: Column, out: str) -> DataFrame:
     """Sum of ``value`` over the rows in front of each row in its key's order (cell, digest)."""
     rows = rows.withColumn("_v", value)
-    order = ["digest", "doc_id", "size"]
+    order = ["digest", "doc_id", "size", "row_hash"]
     cells = rows.groupBy(key, "cell").agg(F.sum("_v").alias("_sum"))
     ahead = Window.partitionBy(key).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = cells.select(key, "cell", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_start"))
@@ -143,7 +167,7 @@ def assign(rows: DataFrame, shards: int, old_shards: int) -> tuple[DataFrame, di
 
 
 def reshard(docs: DataFrame, shards: int = SHARDS, old_shards: int = OLD_SHARDS, old: Column | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard for each document."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard, row_hash for each document: the plan."""
     rows = materialize(narrow_rows(docs, old_shard(F.col("doc_id"), old_shards) if old is None else old))
     placed, _ = assign(rows, shards, old_shards)
     slotted = running(materialize(placed), "shard", F.lit(1), "slot")
@@ -155,33 +179,88 @@ def reshard(docs: DataFrame, shards: int = SHARDS, old_shards: int = OLD_SHARDS,
         "shard",
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
-        F.col("old").alias("old_shard"),
+        F.col("old").alias("old_shard", metadata={"old_shards": old_shards if old is None else 0}),
+        "row_hash",
     )
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str) -> list[int]:
+def shard_label(docs: DataFrame) -> str:
+    """Name of the partition column of the files: ``shard``, or ``_shard`` if the documents have a column of that name."""
+    return "_shard" if "shard" in (c.lower() for c in docs.columns) else "shard"
+
+
+def wide_rows(docs: DataFrame, rows: DataFrame, old: Column) -> DataFrame:
+    """The whole documents as ``_doc``, with ``_old``, ``_shard``, ``_cell`` and ``_place``, by the plan's ``rows``.
+
+    On the line of an old shard each new shard has one stretch, so its two ends place a document without a join
+    by row. Rows alike in all columns can stand on both sides of an end; of these at most as many as there are
+    stretches, one is taken and repeated as often as the plan says.
+    """
+    stretches = materialize(rows.groupBy("_old", "_shard").agg(F.min("_place").alias("low"), F.max("_place").alias("high")))
+    lines = stretches.groupBy("_old").agg(F.collect_list(F.struct("low", "high", "_shard")).alias("_line"))
+    ends = stretches.select("_old", F.explode(F.array_distinct(F.array("low", "high"))).alias("_place"))
+    torn = materialize(ends.groupBy("_old", "_place").count().filter("count > 1").select("_old", "_place"))
+    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.struct(*narrow_columns(docs, old)).alias("_n"))
+    wide = with_cells(wide.select("_doc", "_n.*")).select("_doc", F.col("old").alias("_old"), place().alias("_place"))
+    stretch = F.filter("_line", lambda x: (x["low"] <= F.col("_place")) & (F.col("_place") <= x["high"]))
+    out = wide.join(F.broadcast(lines), "_old").withColumn("_shard", stretch[0]["_shard"]).drop("_line")
+    if torn.count():
+        copies = rows.join(F.broadcast(torn), ["_old", "_place"]).groupBy("_old", "_place", "_shard").count()
+        one = wide.join(F.broadcast(torn), ["_old", "_place"], "left_semi").dropDuplicates(["_old", "_place"])
+        again = one.join(F.broadcast(copies), ["_old", "_place"]).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("count")))).drop("_k", "count")
+        out = out.join(F.broadcast(torn), ["_old", "_place"], "left_anti").unionByName(again)
+    return out.withColumn("_cell", F.col("_place.cell"))
+
+
+def chunks_of(rows: DataFrame) -> DataFrame:
+    """_shard, _cell, _chunk, _first: cells of a shard in files of about CHUNK bytes, and each file's first slot."""
+    cells = rows.groupBy("_shard", F.col("_place.cell").alias("_cell")).agg(F.count("*").alias("n"), F.sum("_place.size").alias("bytes"))
+    ahead = Window.partitionBy("_shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select(
+        "_shard",
+        "_cell",
+        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_at"),
+        F.floor(F.coalesce(F.sum("bytes").over(ahead), F.lit(0)) / CHUNK).cast("long").alias("_chunk"),
+    )
+    return starts.withColumn("_first", F.min("_at").over(Window.partitionBy("_shard", "_chunk"))).drop("_at")
+
+
+def rewrite(docs: DataFrame, placed: DataFrame, path: str, old: Column | None = None, everything: bool = False) -> list[int]:
     """Write the files of the shards that gain or lose documents under ``path``/shard=k; returns their numbers.
 
-    ``placed`` is what ``reshard`` returned. Shards without a transfer are left as they are. Documents are
-    dealt to (shard, slot range) cells, so that one large shard is written by many tasks.
+    ``placed`` is what ``reshard`` returned for the same documents; ``old`` is needed if ``reshard`` was given it.
+    Shards without a transfer are left as they are, unless ``everything`` is asked for because ``path`` has no old
+    files. A shard that has lost all its documents loses its files. The files hold all columns and ``_slot``, and
+    are dealt by (shard, range of slots), so that one large shard is written by many tasks.
     """
-    moved = placed.filter("shard <> old_shard")
-    touched = moved.select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
-    numbers = sorted(r[0] for r in touched.collect())  # bounded by the number of shards
-    affected = placed.filter(F.col("shard").isin(numbers)).select("doc_id", "text_crc32", "shard", "slot")
-    key = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    out = docs.withColumn("text_crc32", key).join(affected.dropDuplicates(["doc_id", "text_crc32"]), ["doc_id", "text_crc32"])
-    session = docs.sparkSession
-    before = session.conf.get("spark.sql.sources.partitionOverwriteMode")
-    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            out.repartition("shard", F.expr("slot div 100000"))
-            .sortWithinPartitions("shard", "slot")
-            .write.mode("overwrite")
-            .partitionBy("shard")
-            .parquet(path)
-        )
-    finally:
-        session.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    if old is None:
+        old_shards = placed.schema["old_shard"].metadata.get("old_shards")
+        if not old_shards:
+            raise ValueError("the plan's old shards are not those by id; give the column")
+        old = old_shard(F.col("doc_id"), old_shards)
+    rows = materialize(with_cells(placed).select(F.col("old_shard").alias("_old"), F.col("shard").alias("_shard"), place().alias("_place")))
+    pairs = rows.select("_old", "_shard").distinct().collect()  # bounded by the numbers of shards
+    numbers = sorted({k for i, j in pairs if everything or i != j for k in (i, j)})
+    emptied = set(numbers) - {j for _, j in pairs}
+    out = wide_rows(docs, rows, old).filter(F.col("_shard").isin(numbers)).join(F.broadcast(chunks_of(rows)), ["_shard", "_cell"])
+    inside = F.row_number().over(Window.partitionBy("_shard", "_chunk").orderBy("_place"))
+    label = shard_label(docs)
+    (
+        out.select("_doc.*", (F.col("_first") + inside - 1).alias("_slot"), F.col("_shard").alias(label))
+        .sortWithinPartitions(label, "_slot")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(label)
+        .parquet(path)
+    )
+    jvm = docs.sparkSession.sparkContext._jvm
+    for k in sorted(emptied):
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{label}={k}")
+        folder.getFileSystem(docs.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     return numbers
+
+
+def read_shards(docs: DataFrame, path: str) -> DataFrame:
+    """The written documents with ``_slot`` and the partition column; for an empty folder as well."""
+    fields = [*docs.schema.fields, T.StructField("_slot", T.LongType()), T.StructField(shard_label(docs), T.IntegerType())]
+    return docs.sparkSession.read.schema(T.StructType(fields)).parquet(path)

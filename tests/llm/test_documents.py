@@ -220,6 +220,31 @@ def test_rewrite_holds_every_document_of_touched_shards(spark, tmp_path):
     assert sorted((r.shard, r.doc_id) for r in spark.read.parquet(str(tmp_path / "out")).select("shard", "doc_id").collect()) == wanted
 
 
+@pytest.mark.parametrize("shards, old_shards", [(4, 3), (3, 5), (2, 2)])
+@pytest.mark.parametrize("column", ["shard", "other"])
+def test_rewrite_keeps_every_row_once(spark, tmp_path, shards, old_shards, column):
+    """Null ids, repeated rows alike or not in other columns, emptied shards, and an input column named shard."""
+    path = str(tmp_path / "out")
+    rows = [(None, None, "a")] * 40 + [(None, "no id", "b")] * 3 + [(7, "twice", x) for x in "ccde"] + [(k, f"text {k} " * (k % 9), "f") for k in range(60)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {column} string")
+    old = reshard.old_shard(F.col("doc_id"), old_shards)
+    # A repeated row lies in different old shards, and the old layout is on disk.
+    old = F.when(F.col(column) == "d", 0).when(F.col(column) == "e", old_shards - 1).otherwise(old).cast("int")
+    label = reshard.shard_label(docs)
+    docs.withColumn("_slot", F.lit(0).cast("long")).withColumn("_old", old).withColumnRenamed("_old", label).write.partitionBy(label).parquet(path)
+    placed = reshard.reshard(docs, shards=shards, old_shards=old_shards, old=old)
+    with pytest.raises(ValueError):
+        reshard.rewrite(docs, placed, path)
+    numbers = reshard.rewrite(docs, placed, path, old=old)
+    found = reshard.read_shards(docs, path).collect()
+    assert Counter((r.doc_id, r.text, r[column]) for r in found) == Counter(rows)
+    plan = placed.collect()
+    assert Counter(r[label] for r in found) == Counter(r.shard for r in plan)
+    assert {r[label] for r in found} == set(range(shards))
+    slots = Counter((r[label], r._slot) for r in found if r[label] in numbers)
+    assert slots == Counter((r.shard, r.slot) for r in plan if r.shard in numbers) and set(slots.values()) <= {1}
+
+
 def test_empty_tables(spark, tmp_path):
     docs = frame(spark, [(1, "x")]).limit(0)
     benchmark = spark.createDataFrame([], "item_id long, text string")
