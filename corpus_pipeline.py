@@ -40,8 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The new shard and slot of each document."""
-    return reshard.reshard(docs).drop("row_hash")
+    """The documents as the written shard files hold them, with shard and slot."""
+    return reshard.reshard_files(docs, f"{checkpoint_dir(spark)}/shards_{uuid.uuid4().hex}")
 
 
 STAGES = [

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, hilbert, linededup, mixing, neardup, pii, reshard, tokencount, toxicity, urlfilter
-from .common import table
+from .common import checkpoint_dir, table
 
 #: The tokenizer of op2, from the public vocabulary files on the machine.
 TOKENIZER = "piece_bpe_32k.model"
@@ -40,7 +42,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reshard.reshard(table(spark, sf_dir, "documents")).drop("row_hash")
+    path = f"{checkpoint_dir(spark)}/shards_{uuid.uuid4().hex}"
+    return reshard.reshard_files(table(spark, sf_dir, "documents"), path).select(*reshard.PLAN)
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

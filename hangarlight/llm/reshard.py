@@ -32,6 +32,8 @@ OVERHEAD = 16
 CELLS = 256
 #: Bytes of text in a file of a shard, as far as its cells allow.
 CHUNK = 64 << 20
+#: Columns of the plan that a query returns.
+PLAN = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "old_shard")
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
@@ -104,15 +106,13 @@ def row_hash(docs: DataFrame) -> Column:
     return F.xxhash64(*[c.isNull() for c in columns], *columns)
 
 
-def narrow_columns(docs: DataFrame, old: Column) -> list[Column]:
+def text_columns() -> tuple[Column, Column]:
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    return [
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        row_hash(docs).alias("row_hash"),
-        old.alias("old"),
-    ]
+    return (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+
+
+def narrow_columns(docs: DataFrame, old: Column) -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), *text_columns(), row_hash(docs).alias("row_hash"), old.alias("old")]
 
 
 def with_cells(rows: DataFrame) -> DataFrame:
@@ -264,3 +264,25 @@ def read_shards(docs: DataFrame, path: str) -> DataFrame:
     """The written documents with ``_slot`` and the partition column; for an empty folder as well."""
     fields = [*docs.schema.fields, T.StructField("_slot", T.LongType()), T.StructField(shard_label(docs), T.IntegerType())]
     return docs.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+
+def reshard_files(docs: DataFrame, path: str, shards: int = SHARDS, old_shards: int = OLD_SHARDS) -> DataFrame:
+    """Plan, write every shard into the new folder ``path``, and return what the files hold, in ``docs``' columns and the plan's.
+
+    Size, checksum, shard and slot come from the written files. An input column of a name of the plan's is in the
+    files but not in the result.
+    """
+    rewrite(docs, reshard(docs, shards, old_shards), path, everything=True)
+    written = read_shards(docs, path)
+    size, crc = text_columns()
+    plan = [
+        F.col("doc_id").cast("long").alias("doc_id"),
+        size,
+        crc,
+        F.lit("bytes").alias("law"),
+        F.col(shard_label(docs)).alias("shard"),
+        F.col("_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        old_shard(F.col("doc_id"), old_shards).alias("old_shard"),
+    ]
+    return written.select(*plan, *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in PLAN])

@@ -245,6 +245,27 @@ def test_rewrite_keeps_every_row_once(spark, tmp_path, shards, old_shards, colum
     assert slots == Counter((r.shard, r.slot) for r in plan if r.shard in numbers) and set(slots.values()) <= {1}
 
 
+def test_resharding_query_writes_the_whole_documents(spark, monkeypatch):
+    paths, rewrite = [], reshard.rewrite
+    monkeypatch.setattr(reshard, "rewrite", lambda docs, placed, path, **k: paths.append(path) or rewrite(docs, placed, path, **k))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = {(r.shard, r.slot): r for r in QUERIES["op7_resharding"](spark, FOLDER).collect()}
+    written = spark.read.parquet(*paths).collect()
+    assert Counter((r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in written) == Counter(map(tuple, docs.collect()))
+    assert len(found) == len(written) and all(found[r.shard, r._slot].doc_id == r.doc_id for r in written)
+    plan = reshard.reshard(docs).drop("row_hash")
+    assert sorted(map(tuple, found.values()), key=str) == sorted(map(tuple, plan.collect()), key=str)
+
+
+def test_pipeline_ends_with_texts(spark):
+    import corpus_pipeline
+
+    docs = frame(spark, odd_rows())
+    found = corpus_pipeline.shard(spark, docs, FOLDER).collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(odd_rows())
+    assert corpus_pipeline.shard(spark, docs.limit(0), FOLDER).count() == 0
+
+
 def test_empty_tables(spark, tmp_path):
     docs = frame(spark, [(1, "x")]).limit(0)
     benchmark = spark.createDataFrame([], "item_id long, text string")
