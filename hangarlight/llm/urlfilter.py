@@ -7,7 +7,7 @@ distrust exceeds its trust and reaches ``FLOOR`` of what an even spread over all
 
 Links are counted per (host, host) before anything is shuffled further; ranks are joined to edges by the
 source host and summed per target, with pre-aggregation. Ranks and edges are Spark tables, cut by
-checkpoints; the driver sees only two sums per round.
+checkpoints; the driver sees only a sum per round. Rounds go on until ranks are exact to ``ERROR`` of that limit.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is
 allowed. Null html has no links. Repeated pages are judged alike and count their links again.
@@ -15,6 +15,7 @@ allowed. Null html has no links. Repeated pages are judged alike and count their
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 DAMPING = 0.85
-ROUNDS = 20
-TOLERANCE = 1e-4
 FLOOR = 0.5
+#: Largest error of a host's rank, as a share of the limit ``FLOOR`` / hosts.
+ERROR = 1e-3
 
 
 class Rule(NamedTuple):
@@ -81,13 +82,19 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """Personalised PageRank (host, rank) from seeds (host, mass; masses sum to 1) over edges (src, dst, n)."""
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, tolerance: float = 1e-9) -> DataFrame:
+    """Personalised PageRank (host, rank) from seeds (host, mass; masses sum to 1) over edges (src, dst, n).
+
+    Goes on until a round changes the ranks by less than ``tolerance`` in sum; the error left is then at most
+    ``tolerance * damping / (1 - damping)``. Only a caller that gives ``rounds`` gets ranks that may be cut short.
+    """
+    # Round t changes at most (1 - damping) * damping ** t, so twice the rounds to the tolerance are never needed.
+    bound = rounds or 2 * math.ceil(max(1.0, math.log(tolerance / (1 - damping), damping))) + 10
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     weighted = materialize(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("w")))
     base = materialize(seeds).select("host", (F.col("mass") * (1 - damping)).alias("rank"))
     rank = base
-    for _ in range(rounds):
+    for _ in range(bound):
         moved = weighted.join(rank, weighted["src"] == rank["host"]).select(
             F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("rank")
         )
@@ -97,7 +104,9 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
         change = both.agg(F.coalesce(F.sum(gap), F.lit(0.0))).first()[0]
         rank = new
         if change < tolerance:
-            break
+            return rank
+    if rounds is None:
+        raise RuntimeError(f"ranks still change by {change} after {bound} rounds")
     return rank
 
 
@@ -123,10 +132,11 @@ def host_scores(pages: DataFrame, rules=RULES) -> DataFrame:
             trusted = trusted | fits
     good = _even(hosts.filter(trusted & ~blocked))
     bad = _even(hosts.filter(blocked))
-    trust = spread(edges, good).withColumnRenamed("rank", "trust")
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    distrust = spread(back, bad).withColumnRenamed("rank", "distrust")
     n = hosts.count()
+    tolerance = ERROR * FLOOR / max(n, 1) * (1 - DAMPING) / DAMPING
+    trust = spread(edges, good, tolerance=tolerance).withColumnRenamed("rank", "trust")
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+    distrust = spread(back, bad, tolerance=tolerance).withColumnRenamed("rank", "distrust")
     zero = F.lit(0.0)
     scored = (
         hosts.join(trust, "host", "left").join(distrust, "host", "left")

@@ -84,6 +84,20 @@ def test_ranks_equal_power_iteration(spark):
     assert all(abs(found.get(str(i), 0.0) - rank[i]) < 1e-6 for i in range(n))
 
 
+def test_default_ranks_reach_long_chains(spark):
+    """Distrust goes down a chain of 28 links to a blocked host; the limit is low because there are many hosts."""
+    n, length = 429, 28
+    chain = ["http://bad.net/"] + [f"http://h{k}.com/" for k in range(1, length + 1)]
+    rows = [(chain[0], "")] + [(chain[k], f'<a href="{chain[k - 1]}">x</a>') for k in range(1, length + 1)]
+    rows += [(f"http://lone{k}.com/", "") for k in range(n - len(rows))]
+    verdict = {r.host: r.verdict for r in urlfilter.judge(pages(spark, rows)).collect()}
+    assert len(verdict) == n and all(0.15 * 0.85**k * n > 0.5 for k in range(length + 1))
+    assert all(verdict[f"h{k}.com"] == "block" for k in range(1, length + 1)) and verdict["lone1.com"] == "allow"
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    found = {r.host: r["rank"] for r in urlfilter.spread(edges, spark.createDataFrame([("a", 1.0)], "host string, mass double")).collect()}
+    assert abs(found["a"] - 0.15 / (1 - 0.85**2)) < 1e-8 and abs(sum(found.values()) - 1) < 1e-8
+
+
 def test_lines_on_most_pages_of_a_site_go(spark):
     body = "<p>Menu</p><p>own {0}</p><p>Menu</p><script>x</script>"
     rows = [(f"http://site.com/{k}", body.format(k)) for k in range(6)]
