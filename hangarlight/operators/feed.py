@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import canonical_n_number, is_calendar_day, is_utc_instant
 from ..sources.schemas import CHANGELOG, CURRENT, MAPPING_COLUMNS, REVIEW_COLUMNS, RUN, TRUST_COLUMNS
+from . import gates
 
 IDENTITY = ("ticker", "cik", "match_method", "registrant_name")
 
@@ -123,12 +124,33 @@ class Feed:
         fs.delete(pointer, True)
         fs.rename(new, pointer)
 
-    def apply(self, as_of: str, recorded_at: str, deleted_at: int, published: DataFrame, review: DataFrame, unresolved: DataFrame) -> None:
-        """Apply a day's result to all tables at once. Bad dates stop before anything is written."""
+    def apply(
+        self,
+        as_of: str,
+        recorded_at: str,
+        deleted_at: int,
+        published: DataFrame,
+        review: DataFrame,
+        unresolved: DataFrame,
+        *,
+        aircraft: int,
+        subsidiaries: int,
+        gold: dict,
+        offline: bool = False,
+        skip_subsidiaries: bool = False,
+    ) -> None:
+        """Apply a day's result to all tables at once. Bad dates and refused gates stop before anything is written.
+
+        ``aircraft`` and ``subsidiaries`` count the rows of the inputs, ``gold`` is the gold evaluation's row.
+        """
         probe = self.spark.range(1).select(is_calendar_day(F.lit(as_of)).alias("d"), is_utc_instant(F.lit(recorded_at)).alias("i")).first()
         if not probe["d"] or not probe["i"]:
             raise ValueError(f"not a UTC day and instant: {as_of}, {recorded_at}")
         current, log = self.table("mappings_current"), self.table("changelog")
+        gates.check_master_floor(aircraft, offline)
+        gates.check_subsidiaries(subsidiaries, skip_subsidiaries)
+        gates.check_gold(gold)
+        gates.check_published_floor(current.filter("deleted_at is null").count(), published.select("n_number").distinct().count())
         changes = diff(current, published).persist()
         try:
             self._publish(
