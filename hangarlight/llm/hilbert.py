@@ -1,23 +1,31 @@
 """Nearest neighbours by shifted space-filling curves.
 
 Vectors are projected to a few dimensions, several times with other directions and shifts, and each
-projection is ordered along a Hilbert curve by a range partitioning in Spark. Consecutive stretches of a
-curve are packed into blocks of ``BLOCK`` rows; queries meet the blocks within a window around their own
-place on each curve, candidates are scored exactly on the original vectors, and the curves' results merge.
+projection is ordered along a Hilbert curve by one range partitioning in Spark. A curve is cut into blocks of
+equally many rows; a query meets the rows of the blocks around its own place, on each curve, candidates are scored
+exactly on the original vectors, and the curves' results merge.
 
-The window follows a measurement: for a bounded sample of queries the true neighbours are found by brute
-force, and the cheapest number of curves and window width that hold ``RECALL`` of them is used. Data
-without locality (independent random directions) get wide windows, up to one curve as a whole, which is
-exact; nothing is capped.
+Directions follow the data: they are drawn from the covariance of a bounded sample (``SAMPLE_ROWS`` rows), so that
+dimensions in which vectors differ count. The number of curves and the width of the windows are the choice that
+lets a query meet the fewest rows while the sample's own neighbours lie in the windows with ``RECALL``; in the
+sample a row stands for n / SAMPLE_ROWS rows, so its nearest few stand for the nearest ``TOP``. Every row is
+indexed. The result's recall is then measured by brute force for ``CHECKED`` queries against all rows; below
+``LEAST_RECALL`` the windows double, up to the whole curve, which is exact. Nothing is capped.
+
+Data without locality (independent random directions) leave little to gain: a query meets most of the rows, over
+all curves. Data with clusters or few true dimensions meet a small part.
 
 Nearness is the inner product. Vectors are lifted by one coordinate to equal length, so the largest
 product is the smallest distance. Defined results: null, zero or non-finite vectors, null ids and vectors
-of another dimension than most take no part. Equal scores go to the smaller id. Rows repeating an id are
-candidates once (the smallest vector), and a query does not meet its own id.
+of another dimension than most take no part; products that overflow are infinite scores. Equal scores go to the
+smaller id. Rows repeating an id are candidates once (the smallest vector), and a query does not meet its own id.
+An empty table has no result.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -27,12 +35,15 @@ from .common import materialize
 
 TOP = 20
 QUERY_STEP = 20
-CURVES = 4
-PROJECTED, BITS = 6, 10
-BLOCK = 8192
-PACK_BLOCKS = 4
-SAMPLE_QUERIES = 128
+CURVES = 8
+PROJECTED, BITS = 6, 8
+SAMPLE_ROWS = 8192
+SAMPLE_QUERIES = 256
+CHECKED = 128
 RECALL = 0.95
+LEAST_RECALL = 0.9
+#: Most rows of a block; a window is more blocks where it must be wider.
+BLOCK = 8192
 SEED = 11
 
 
@@ -64,118 +75,194 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column) -> np.ndarray:
     """Rows of a list column of one common length."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     n = len(column)
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(n, -1).astype(np.float64) if n else np.zeros((0, 1))
 
 
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """(vec_id, vector) rows that take part, and their dimension."""
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    """(vec_id, vector), one row for each id that takes part, and the dimension."""
+    single = vectors.schema["embedding"].dataType.elementType.simpleString() == "float"
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("vector"))
     v = v.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
     odd = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     v = v.filter(~odd & F.exists("vector", lambda x: x != 0))
     common = v.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     dim = common[0]["d"] if common else 1
-    return v.filter(F.size("vector") == dim), dim
-
-
-def keyed(vectors: DataFrame, dim: int, curves: int) -> DataFrame:
-    """vec_id, vector and the array of its places on the curves."""
-    norms = vectors.select(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x).alias("s")).agg(F.max("s").alias("m"), F.avg("s").alias("a")).first()
-    longest, scale = norms["m"] or 1.0, 4.0 * np.sqrt((norms["m"] or 1.0) / (dim + 1))
+    one = v.filter(F.size("vector") == dim).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return materialize(one), dim
+
+
+def bounded_sample(rows: DataFrame, dim: int, size: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
+    """At most ``size`` vectors, chosen by a digest of their id, and the largest length of any vector."""
+    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(size).select("vector").toArrow()
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    longest = rows.agg(F.max(F.sqrt(squares))).first()[0] or 1.0
+    return _matrix(chosen.column(0)).reshape(-1, dim), float(longest)
+
+
+@dataclass
+class Curves:
+    """Projections of lifted vectors, and where and how wide each lies on the grid of its curve."""
+
+    longest: float
+    turns: np.ndarray  # (curves, dimension + 1, projected)
+    middle: np.ndarray  # (curves, projected)
+    width: np.ndarray
+    shift: np.ndarray
+
+    def lift(self, v: np.ndarray) -> np.ndarray:
+        v = v / self.longest
+        return np.concatenate([v, np.sqrt(np.maximum(1.0 - (v * v).sum(axis=1), 0.0))[:, None]], axis=1)
+
+    def keys(self, v: np.ndarray) -> np.ndarray:
+        """(rows, curves) places on the curves."""
+        full = self.lift(v)
+        out = [
+            hilbert_keys((((full @ t - m) / w + 0.5 + s) * (1 << BITS)).clip(0, (1 << BITS) - 1).astype(np.int64), BITS)
+            for t, m, w, s in zip(self.turns, self.middle, self.width, self.shift, strict=True)
+        ]
+        return np.stack(out, axis=1) if out else np.zeros((len(v), 0), np.int64)
+
+
+def fit_curves(sample: np.ndarray, longest: float, count: int = CURVES) -> Curves:
+    """Random directions weighted by the sample's covariance, grids fitted to its spread, and random shifts."""
+    if not np.isfinite(longest):
+        longest = float(np.abs(sample).max()) * np.sqrt(sample.shape[1])
+    curves = Curves(longest, *(np.zeros(0) for _ in range(4)))
+    full = curves.lift(sample)
     rng = np.random.default_rng(SEED)
-    projected = min(PROJECTED, dim)
-    turns = [np.linalg.qr(rng.normal(size=(dim + 1, projected)))[0] for _ in range(curves)]
-    shifts = [rng.uniform(-0.25, 0.25, projected) * scale for _ in range(curves)]
+    k = min(PROJECTED, sample.shape[1])
+    centred = full - full.mean(axis=0)
+    covariance = centred.T @ centred / len(full) + 1e-9 * np.eye(full.shape[1])
+    turns = np.stack([np.linalg.qr(covariance @ rng.normal(size=(full.shape[1], k)))[0] for _ in range(count)])
+    projected = full @ turns
+    spread = projected.std(axis=1)
+    # Six standard deviations and the shift fit on the grid; what lies outside goes to its edge.
+    return Curves(longest, turns, projected.mean(axis=1), np.where(spread > 0, spread, 1.0) * 8, rng.uniform(-0.12, 0.12, (count, k)))
+
+
+@dataclass
+class Choice:
+    curves: Curves
+    part: float  # rows of a block as a share of all; a window is a block and its two neighbours
+    candidates: float  # expected share of the rows that a query meets
+
+
+def calibrate(sample: np.ndarray, longest: float, n: int, top: int = TOP, most: int = CURVES, recall: float = RECALL) -> Choice:
+    """The curves and block width by which a query meets the fewest rows while windows hold ``recall`` of the neighbours."""
+    curves = fit_curves(sample, longest, most)
+    size = len(sample)
+    queries = np.arange(min(SAMPLE_QUERIES, size))
+    near = min(max(1, round(top * size / max(n, size))), max(1, size - 1))
+    scaled = sample / curves.longest
+    scores = scaled[queries] @ scaled.T
+    scores[queries, queries] = -np.inf
+    truth = np.argpartition(-scores, near - 1, axis=1)[:, :near] if size > 1 else np.zeros((len(queries), 0), np.int64)
+    at = np.argsort(np.argsort(curves.keys(sample), axis=0, kind="stable"), axis=0) / size
+    best = None
+    for part in np.geomspace(1 / size, 1 / 3, 60) if size > 3 else [1.0]:
+        block = np.floor(at / part)
+        met = np.abs(block[queries][:, None, :] - block[truth]) <= 1  # queries, neighbours, curves
+        for count in range(1, most + 1):
+            found = met[:, :, :count].any(axis=2)
+            share = 1 - (1 - min(1.0, 3 * part)) ** count
+            cost = share + 0.005 * count
+            if (not found.size or found.mean() >= recall) and (best is None or cost < best[0]):
+                best = (cost, count, part, share)
+    _, count, part, share = best or (1.0, most, 1.0, 1.0)
+    kept = Curves(curves.longest, curves.turns[:count], curves.middle[:count], curves.width[:count], curves.shift[:count])
+    return Choice(kept, float(part), float(share))
+
+
+def places(rows: DataFrame, curves: Curves, n: int) -> DataFrame:
+    """vec_id, curve, place: where each of the ``n`` rows stands on each curve, from 0."""
 
     def run(batches):
         for batch in batches:
-            v = _matrix(batch.column(1))
-            if not len(v):
+            if not batch.num_rows:
                 continue
-            lift = np.sqrt(np.maximum(longest - (v * v).sum(axis=1), 0.0))
-            full = np.concatenate([v, lift[:, None]], axis=1)
-            keys = []
-            for turn, shift in zip(turns, shifts, strict=True):
-                cells = ((full @ turn + shift) / (2.5 * scale) + 0.5) * (1 << BITS)
-                keys.append(hilbert_keys(cells.clip(0, (1 << BITS) - 1).astype(np.int64), BITS))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * curves), pa.array(np.stack(keys, axis=1).reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["vec_id", "vector", "keys"])
-
-    return vectors.mapInArrow(run, "vec_id long, vector array<double>, keys array<long>")
+            keys = curves.keys(_matrix(batch.column(1)))
+            count = keys.shape[1]
+            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), count)
+            numbers = np.tile(np.arange(count, dtype=np.int32), len(keys))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(numbers), pa.array(keys.reshape(-1))], names=["vec_id", "curve", "key"])
 
-
-def on_curve(rows: DataFrame, curve: int, block: int) -> DataFrame:
-    """vec_id, vector, block: the rows in curve order, cut into stretches of ``block`` rows."""
+    order = ["curve", "key", "vec_id"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.select("vec_id", "vector", F.col("keys")[curve].alias("key")).repartitionByRange(parts, "key", "vec_id").sortWithinPartitions("key", "vec_id")
+    keyed = rows.select("vec_id", "vector").mapInArrow(run, "vec_id long, curve int, key long")
+    ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # The id holds the partition in its high bits and the row in its low 33.
-    numbered = materialize(ordered.withColumn("at", F.monotonically_increasing_id()))
-    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    numbered = numbered.withColumn("part", part).withColumn("place", place)
+    numbered = materialize(ordered.select("vec_id", "curve", F.monotonically_increasing_id().alias("at")))
+    numbered = numbered.withColumn("part", F.shiftright("at", 33)).withColumn("row", F.col("at").bitwiseAND((1 << 33) - 1))
     counts = numbered.groupBy("part").agg(F.count("*").alias("n"))  # one row per partition
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
-    placed = numbered.join(F.broadcast(starts), "part").withColumn("position", F.col("start") + F.col("place"))
-    return placed.select("vec_id", "vector", F.expr(f"position div {block}").cast("int").alias("block"))
+    # Every curve holds all rows, so the places of a curve begin at its number times n.
+    place = F.col("start") + F.col("row") - F.col("curve").cast("long") * n
+    return numbered.join(F.broadcast(starts), "part").select("vec_id", "curve", place.alias("place"))
 
 
 def _best(q_ids, q, v_ids, v, top):
-    """Exact best ``top`` of v for each q: (row of q, v_id, score), ties to smaller ids."""
-    out_q, out_v, out_s = [], [], []
-    for k in range(0, len(q), 256):
-        part, ids = q[k : k + 256], q_ids[k : k + 256]
-        scores = part @ v.T
-        scores[ids[:, None] == v_ids[None, :]] = -np.inf
-        if scores.shape[1] > top:
-            edge = np.partition(scores, -top, axis=1)[:, -top]
-            near = scores >= (edge - 1e-9 * (1 + np.abs(edge)))[:, None]
-        else:
-            near = np.isfinite(scores)
-        row, col = np.nonzero(near & np.isfinite(scores))
-        exact = np.einsum("ij,ij->i", part[row], v[col])
-        order = np.lexsort((v_ids[col], -exact, row))
-        row, col, exact = row[order], col[order], exact[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = rank < top
-        out_q.append(ids[row[keep]])
-        out_v.append(v_ids[col[keep]])
-        out_s.append(exact[keep])
+    """Exact best ``top`` of v for each q: (q_id, v_id, score), ties to smaller ids."""
+    out_q, out_v, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for k in range(0, len(q), 256):
+            part, ids = q[k : k + 256], q_ids[k : k + 256]
+            scores = np.nan_to_num(part @ v.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+            other = ids[:, None] != v_ids[None, :]
+            near = other
+            if scores.shape[1] > top + 1:
+                edge = np.partition(np.where(other, scores, -np.inf), -top, axis=1)[:, -top]
+                # Products of a block may differ in their last bits from those of single pairs.
+                near = other & (scores >= np.where(np.isfinite(edge), edge - 1e-9 * (1 + np.abs(edge)), edge)[:, None])
+            row, col = np.nonzero(near)
+            exact = np.einsum("ij,ij->i", part[row], v[col])
+            order = np.lexsort((v_ids[col], -np.nan_to_num(exact, nan=-np.inf, posinf=np.inf, neginf=-np.inf), row))
+            row, col, exact = row[order], col[order], exact[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            keep = rank < top
+            out_q.append(ids[row[keep]])
+            out_v.append(v_ids[col[keep]])
+            out_s.append(exact[keep])
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
-def _candidates(pairs: DataFrame, top: int) -> DataFrame:
-    """query_id, vec_id, score for rows of packed queries (q_ids, q) and packed vectors (v_ids, v)."""
+FOUND = "query_id long, vec_id long, score double"
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                q_ids, q, v_ids, v = (batch.column(k).slice(i, 1).flatten() for k in range(4))
-                q_ids, v_ids = q_ids.to_numpy(zero_copy_only=False), v_ids.to_numpy(zero_copy_only=False)
-                found = _best(q_ids, q.flatten().to_numpy(zero_copy_only=False).reshape(len(q_ids), -1), v_ids, v.flatten().to_numpy(zero_copy_only=False).reshape(len(v_ids), -1), top)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
-    return pairs.select("q_ids", "q", "v_ids", "v").mapInArrow(run, "query_id long, vec_id long, score double")
+def _top(found: DataFrame, top: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
 
-def _packed(rows: DataFrame, key: str, ids: str, vectors: str) -> DataFrame:
-    both = F.array_sort(F.collect_list(F.struct("vec_id", "vector")))
-    return rows.groupBy(key).agg(both.alias("_r")).select(key, F.col("_r.vec_id").alias(ids), F.col("_r.vector").alias(vectors))
+def search(rows: DataFrame, placed: DataFrame, n: int, block: int, reach: int, top: int, step: int) -> DataFrame:
+    """FOUND rows ranked: each query meets the blocks within ``reach`` of its own, on every curve."""
+    last = max(0, (n - 1) // block)
+    spread = rows.join(placed.select("vec_id", "curve", F.expr(f"place div {block}").alias("block")), "vec_id")
+    low, high = F.greatest(F.lit(0), F.col("block") - reach), F.least(F.lit(last), F.col("block") + reach)
+    asking = spread.filter(F.col("vec_id") % step == 0).select("vec_id", "vector", "curve", F.explode(F.sequence(low, high)).alias("block"))
 
+    def meet(asked: pa.Table, held: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if asked.num_rows and held.num_rows:
+            q_ids, v_ids = asked["vec_id"].to_numpy(), held["held_vec_id"].to_numpy()
+            found = _best(q_ids, _matrix(asked["vector"]), v_ids, _matrix(held["held_vector"]), top)
+        return pa.table([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
-def _top(found: DataFrame, top: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    held = spread.select(*[F.col(c).alias(f"held_{c}") for c in ("vec_id", "vector", "curve", "block")])
+    met = asking.groupBy("curve", "block").cogroup(held.groupBy("held_curve", "held_block")).applyInArrow(meet, FOUND)
+    return _top(met.distinct(), top)
 
 
-def calibrate(blocks: list[DataFrame], queries: DataFrame, top: int, recall: float) -> tuple[int, int, float]:
-    """(curves, window in blocks, measured recall) of the cheapest choice that holds ``recall`` of the true neighbours."""
-    sample = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_QUERIES).collect()  # a bounded set of queries
-    q_ids = np.array([r["vec_id"] for r in sample], dtype=np.int64)
-    q = np.array([r["vector"] for r in sample], dtype=np.float64)
+def brute_force(rows: DataFrame, top: int, step: int) -> DataFrame:
+    """FOUND rows of the true neighbours of at most CHECKED queries."""
+    chosen = rows.filter(F.col("vec_id") % step == 0).orderBy(F.xxhash64("vec_id"), "vec_id").limit(CHECKED).toArrow()
+    q_ids, q = chosen["vec_id"].to_numpy(), _matrix(chosen["vector"])
 
     def compare(batches):
         for batch in batches:
@@ -183,47 +270,38 @@ def calibrate(blocks: list[DataFrame], queries: DataFrame, top: int, recall: flo
                 found = _best(q_ids, q, batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)), top)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
-    scored = blocks[0].select("vec_id", "vector").mapInArrow(compare, "query_id long, vec_id long, score double")
-    truth = materialize(_top(scored, top).select("query_id", "vec_id"))
-    n_blocks = blocks[0].agg(F.max("block")).first()[0] + 1
-    gaps = truth
-    for c, placed in enumerate(blocks):
-        place = placed.select("vec_id", F.col("block").alias(f"v{c}"))
-        gaps = gaps.join(place, "vec_id").join(place.select(F.col("vec_id").alias("query_id"), F.col(f"v{c}").alias(f"q{c}")), "query_id")
-    far = [F.abs(F.col(f"v{c}") - F.col(f"q{c}")) for c in range(len(blocks))]
-    rows = gaps.select(*(F.least(*far[: c + 1], F.lit(1 << 30)).alias(f"d{c}") for c in range(len(blocks)))).collect()  # SAMPLE_QUERIES x top
-    if not rows:
-        return 1, n_blocks, 1.0
-    best = (1, n_blocks, 1.0)
-    for c in range(len(blocks)):
-        gap = np.sort([r[f"d{c}"] for r in rows])
-        width = int(gap[min(len(gap) - 1, int(np.ceil(recall * len(gap))) - 1)])
-        cost = (c + 1) * min(n_blocks, 2 * width + PACK_BLOCKS)
-        if cost < best[0] * min(n_blocks, 2 * best[1] + PACK_BLOCKS):
-            best = (c + 1, width, float(np.mean(gap <= width)))
-    return best
-
-
-def nearest(vectors: DataFrame, top: int = TOP, step: int = QUERY_STEP, curves: int = CURVES, block: int = BLOCK, recall: float = RECALL) -> DataFrame:
-    """query_id, rank, vec_id, score: the nearest rows of every query (vec_id divisible by ``step``)."""
-    valid, dim = usable(vectors)
-    one = valid.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    rows = materialize(keyed(one, dim, curves))
-    if not rows.limit(1).count():
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    blocks = [materialize(on_curve(rows, c, block)) for c in range(curves)]
-    queries = rows.filter(F.col("vec_id") % step == 0).select("vec_id", "vector")
-    used, width, _ = calibrate(blocks, queries, top, recall)
-    found = None
-    for placed in blocks[:used]:
-        n_blocks = placed.agg(F.max("block")).first()[0] + 1
-        asked = placed.filter(F.col("vec_id") % step == 0).withColumn("pack", F.expr(f"block div {PACK_BLOCKS}"))
-        packs = _packed(asked, "pack", "q_ids", "q")
-        low = F.greatest(F.lit(0), F.col("pack") * PACK_BLOCKS - width)
-        high = F.least(F.lit(n_blocks - 1), F.col("pack") * PACK_BLOCKS + PACK_BLOCKS - 1 + width)
-        pairs = packs.withColumn("block", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
-        part = _candidates(pairs.join(_packed(placed, "block", "v_ids", "v"), "block"), top)
-        found = part if found is None else found.union(part)
-    if used > 1:
-        found = found.distinct()
-    return _top(found, top).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return materialize(_top(rows.mapInArrow(compare, FOUND), top).select("query_id", "vec_id"))
+
+
+def nearest(vectors: DataFrame, top: int = TOP, step: int = QUERY_STEP, curves: int = CURVES, recall: float = RECALL, least: float = LEAST_RECALL) -> DataFrame:
+    """query_id, rank, vec_id, score of the nearest rows of every query (vec_id divisible by ``step``), and how they were found.
+
+    recall: of the true neighbours of the checked queries, the share found; curves, and window: the rows of a
+    query's window on each.
+    """
+    rows, dim = usable(vectors)
+    n = rows.count()
+    if not n:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double, recall double, curves int, window long")
+    choice = calibrate(*bounded_sample(rows, dim), n, top, curves, recall)
+    placed = materialize(places(rows, choice.curves, n))
+    truth = brute_force(rows, top, step)
+    width = max(1, min(n, int(np.ceil(choice.part * n))))
+    block = min(width, BLOCK)
+    reach = -(-width // block)
+    wanted = truth.count()
+    while True:
+        found = materialize(search(rows, placed, n, block, reach, top, step))
+        share = found.join(truth, ["query_id", "vec_id"], "left_semi").count() / wanted if wanted else 1.0
+        if share >= least or reach * block >= n:
+            break
+        reach *= 2
+    return found.select(
+        "query_id",
+        F.col("rank").cast("int").alias("rank"),
+        "vec_id",
+        "score",
+        F.lit(share).alias("recall"),
+        F.lit(len(choice.curves.turns)).alias("curves"),
+        F.lit(min(n, (2 * reach + 1) * block)).cast("long").alias("window"),
+    )
