@@ -3,11 +3,11 @@
 A text's key is the SHA-256 of its content; a stored count also carries the digest of the tokenizer
 file, so a new tokenizer version never meets old counts. Narrow (id, digest) rows are joined to the
 stored counts; of the digests that miss, one document each is encoded, and the new counts are appended.
-Texts are never shuffled: documents that need no encoding (known digest, or a copy of a document that
-is encoded) are anti-joined away by id in place.
+Texts are not shuffled: the documents to encode are selected in place by bitmaps of (id, digest), see
+``keep_rows``. A text that very many documents repeat is dealt over several tasks in both joins.
 
-Defined results: null text counts as empty, 0 tokens. Rows may repeat ids or texts; every row gets its
-text's count. Normalisation is the tokenizer's own, so that counts are exactly its counts.
+Defined results: null text counts as empty, 0 tokens. Rows may repeat ids or texts, and ids may be null; every
+row gets its text's count. Texts of any length are encoded whole. Normalisation is the tokenizer's own, so that counts are exactly its counts.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint_dir, join_ids, materialize
+from .common import checkpoint_dir, hot_from, join_hot, keep_rows, materialize
 from .wordhash import chunks
 
 CACHE_SCHEMA = "digest string, version string, n_tokens long"
@@ -88,27 +88,19 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: CountCache, limit:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) for each row of ``docs`` (doc_id, text)."""
     version = tokenizer_version(tokenizer_path)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    digest = F.sha2("text", 256)
-    keyed = materialize(docs.select("doc_id", digest.alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")))
-    stored = materialize(cache.read(version))
+    docs = docs.withColumn("digest", F.sha2("text", 256))
+    keyed = materialize(docs.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")))
+    texts = materialize(keyed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("_n")))
+    hot = hot_from(texts, ["digest"], "_n")
+    missing = texts.join(cache.read(version), "digest", "left_anti").select("digest", "first_id", F.lit(True).alias("missing"))
     # Of every digest that is not stored, the row with the smallest id is encoded.
-    first = keyed.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    missing = first.join(stored, "digest", "left_anti")
-    skipped = (
-        keyed.join(missing, "digest", "left")
-        .filter(F.col("doc_id").isNotNull() & (F.col("first_id").isNull() | (F.col("doc_id") != F.col("first_id"))))
-        .select("doc_id")
-    )
-    # An id may stand on several rows; it is skipped only if all of them can be.
-    needed = keyed.join(missing, "digest").filter(F.col("doc_id") == F.col("first_id")).select("doc_id")
-    skipped = materialize(skipped.distinct().join(needed.distinct(), "doc_id", "left_anti"))
-    misses = join_ids(docs, skipped, "doc_id", "left_anti").select(digest.alias("digest"), "text")
-    if keyed.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count():
-        # Ids alone do not tell these rows apart: settle the few that are left by digest.
-        misses = misses.join(missing.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
-    cache.append(encode_counts(misses, tokenizer_path), version)
-    counts = cache.read(version)
-    return keyed.join(counts, "digest").select(
+    keys = join_hot(keyed.select("doc_id", "digest"), missing, ["digest"], "left", hot).groupBy("doc_id", "digest")
+    chosen = F.coalesce(F.col("missing") & F.col("doc_id").eqNullSafe(F.col("first_id")), F.lit(False))
+    decided = keys.agg(F.max(chosen).alias("keep"))
+    misses = keep_rows(docs, decided, {"doc_id": F.col("doc_id"), "digest": F.col("digest")})
+    # Rows alike in id and text cannot be told apart; their counts are the same.
+    cache.append(encode_counts(misses, tokenizer_path).dropDuplicates(["digest"]), version)
+    return join_hot(keyed, cache.read(version), ["digest"], hot=hot).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
 

@@ -9,7 +9,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
+#: Longer words are hashed one by one: sums of powers modulo 2^64 collide on words made for it, from 1,024 bytes on.
+LONG_WORD = 512
 CHUNK_BYTES = 1 << 18
 _GAMMA = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -36,6 +39,7 @@ ALNUM = _word_bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61),
 
 _folded = np.arange(256, dtype=np.uint64)
 _folded[65:91] += np.uint64(32)  # A-Z count as a-z
+_LOWER = bytes(_folded.astype(np.uint8))
 _VALUES = mix64((_folded + np.uint64(1)) * _BASE)
 _R = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2^64
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -80,6 +84,8 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_VALUES[data] * powers[:n], out=sums[1:])
     hashes = mix64((sums[ends] - sums[starts]) * inverse[starts]) if len(starts) else np.zeros(0, np.uint64)
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[k] = xxhash.xxh64_intdigest(data[starts[k] : ends[k]].tobytes().translate(_LOWER))
     return hashes, starts, ends, np.searchsorted(starts, offsets)
 
 

@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -88,6 +89,20 @@ def test_dedup_keeps_all_columns_and_one_of_each_group(spark):
     assert {r.doc_id for r in kept.collect()} == {c for _, c in brute.near_duplicates(rows).values()}
 
 
+def test_rows_that_repeat_an_id_are_one_document(spark):
+    """Other texts under one id: links of each of them count, and one row of a group stays."""
+    rng = random.Random(9)
+    a, b, c = (" ".join(rng.choices("abcdefghijklmnop", k=60)) for _ in range(3))
+    rows = [(5, a), (5, b), (6, a + " x"), (7, b + " y"), (8, c), (8, c), (3, c + " z"), (9, ""), (9, ""), (None, c), (None, c), (2, a.upper()), (11, "alone here")]
+    found = neardup.near_duplicates(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.component_id) for r in found) == Counter(
+        [(5, 2), (5, 2), (6, 2), (7, 2), (8, 3), (8, 3), (3, 3), (9, 9), (9, 9), (None, None), (None, None), (2, 2), (11, 11)]
+    )
+    assert sorted(r.n_shingles for r in found if r.doc_id == 5) == sorted(len(brute.shingles(t)) for t in (a, b))
+    kept = neardup.dedup(frame(spark, rows)).collect()
+    assert Counter(r.doc_id for r in kept) == Counter({2: 1, 3: 1, 9: 1, 11: 1, None: 2})
+
+
 def test_token_counts_are_the_librarys_and_cached(spark, tmp_path):
     import sentencepiece
 
@@ -191,6 +206,27 @@ def test_mixture_takes_its_budget_and_nothing_twice_in_one_epoch(spark):
     assert mixed.columns == docs.columns and mixed.count() == mixed.select("doc_id").distinct().count()
 
 
+def test_mixture_on_odd_rows_equals_its_sql(spark):
+    """Null ids, languages and sources, leaves without tokens, repeated rows, clashing columns, and an empty table."""
+    rows = []
+    for k in range(400):
+        lang, source = ["en", "de", None, "xx"][k % 4], ["src0", "src1", None, "other"][k // 4 % 4]
+        empty = lang == "xx" or (lang == "de" and source == "src1")
+        rows.append((None if k % 90 == 7 else k % 350, [None, "", " "][k % 3] if empty else "w " * (k % 13), lang, source, k, k, "b", "w"))
+    schema = "doc_id long, text string, lang string, source string, tokens int, digest int, budget string, whole string"
+    docs = spark.createDataFrame([*rows, *rows[:20]], schema)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    assert_same(mixing.selection(docs), con, mixing.ORACLE_SQL)
+    taken = Counter(str(r.doc_id) + str(r.lang) + str(r.source) for r in mixing.selection(docs, 0.8, 2).filter("epoch < 2").collect())
+    mixed = mixing.mix(docs, 0.8, 2)
+    assert mixed.columns == docs.columns
+    assert Counter(str(r.doc_id) + (r.lang or "") + (r.source or "") for r in mixed.collect()) == taken
+    whole = mixing.mix(docs, 1.0, 1)
+    assert whole.count() == docs.count()
+    assert mixing.mix(docs.limit(0)).count() == 0 and mixing.selection(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("rows", [odd_rows(), copies(4)], ids=["odd", "copies"])
 def test_shards_are_near_equal_and_slots_gapless(spark, rows):
     found = reshard.reshard(frame(spark, rows), shards=5, old_shards=3).collect()
