@@ -11,20 +11,25 @@ can a run of vocabulary words shorter than the shortest phrase; such stretches b
 the suffix array covers only text that could match. This is exact.
 
 Phrases go to the tasks in blocks of ``BLOCK_PHRASES``: the benchmark is the stated query set. For more
-blocks the documents are read once per block and hits are merged by document and word.
+blocks the documents are read once per block, one block is in memory at a time, and hits are merged by document
+and word.
 
-Defined results: null text and text without words have no words and no hits. Items with null id or
-without words are no phrases. Rows repeating a doc_id are separate documents; rows repeating an item_id
-count as one item.
+Defined results: null text and text without words have no words and no hits; texts of any length are searched
+whole. Items with null id or without words are no phrases; ids may be of any type and are reported as strings. Rows
+repeating a doc_id are separate documents; rows repeating an item_id count as one item. Without items or documents
+there are no hits or no rows.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
 from .fmindex import FMIndex
 from .wordhash import ALNUM, chunks, words
 
@@ -39,25 +44,26 @@ DROP_WORDS = 1 << 19
 class Phrases:
     """A block of phrases over a vocabulary of word hashes; symbol 0 ends, 1 separates, words follow."""
 
-    def __init__(self, items: list[int], hashes: list[np.ndarray], window: int):
-        rows, owners = [], []
-        for item, h in zip(items, hashes, strict=True):
-            for k in range(max(1, len(h) - window + 1)):
-                rows.append(h[k : k + window])
-                owners.append(item)
-        self.lengths = np.array([len(r) for r in rows], dtype=np.int64)
-        self.vocabulary = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.uint64)
+    def __init__(self, items: list[str], hashes: list[np.ndarray], window: int):
+        #: Ids of the items; phrases name them by their place here.
+        self.names = np.array(sorted(set(items)), dtype=object)
+        place = {name: k for k, name in enumerate(self.names)}
+        self.vocabulary = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
         self.symbols = len(self.vocabulary) + 2
-        self.table = np.zeros((len(rows), window), dtype=np.int64)
-        for k, r in enumerate(rows):
-            self.table[k, : len(r)] = np.searchsorted(self.vocabulary, r) + 2
+        # All windows of an item at once: rows of symbols, filled up with 0.
+        tables = []
+        for h in hashes:
+            symbols = np.pad(np.searchsorted(self.vocabulary, h) + 2, (0, max(0, window - len(h))))
+            tables.append(np.lib.stride_tricks.sliding_window_view(symbols, window))
+        table = np.concatenate(tables) if tables else np.zeros((0, window), np.int64)
+        owners = np.repeat(np.array([place[i] for i in items], dtype=np.int64), [len(t) for t in tables])
         # Each distinct phrase is searched once and stands for all its items.
-        self.table, where = np.unique(self.table, axis=0, return_inverse=True)
+        self.table, where = np.unique(table, axis=0, return_inverse=True)
         self.lengths = (self.table > 0).sum(axis=1)
-        pairs = np.unique(np.stack([where.reshape(-1), np.array(owners, dtype=np.int64)], axis=1), axis=0) if rows else np.zeros((0, 2), np.int64)
+        pairs = np.unique(np.stack([where.reshape(-1), owners], axis=1), axis=0)
         self.items = pairs[:, 1]
         self.item_at = np.searchsorted(pairs[:, 0], np.arange(len(self.table) + 1))
-        self.shortest = int(self.lengths.min()) if rows else 0
+        self.shortest = int(self.lengths.min()) if len(self.table) else 0
         #: One bit per low 20 bits of a vocabulary hash: most other words fail this cheap test.
         self.sieve = np.zeros(1 << 20, dtype=bool)
         self.sieve[(self.vocabulary & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
@@ -72,17 +78,28 @@ class Phrases:
         return out
 
 
+def item_words(benchmark: DataFrame) -> DataFrame:
+    """item, words: the id as a string and the hashes of the words of each item that has some, made in tasks."""
+
+    def run(batches):
+        for batch in batches:
+            for row, data, offsets in chunks(batch.column(1)):
+                hashes, _, _, bounds = words(data, offsets, ALNUM)
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(bounds) - 1), lists], names=["item", "words"])
+
+    known = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).filter("item is not null")
+    return known.mapInArrow(run, "item string, words array<long>").filter(F.size("words") > 0)
+
+
 def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_PHRASES):
-    """Yield blocks of phrases; items stream through the driver one partition at a time."""
-    wanted = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("item_id is not null")
+    """Yield blocks of phrases, one at a time; word hashes stream through the driver by partition."""
     items, hashes, n = [], [], 0
-    for row in wanted.toLocalIterator():
-        for _, data, offsets in chunks(pa.array([row[1]], pa.string())):
-            h = words(data, offsets, ALNUM)[0]
-            if len(h):
-                items.append(row[0])
-                hashes.append(h)
-                n += max(1, len(h) - window + 1)
+    for row in item_words(benchmark).toLocalIterator():
+        h = np.array(row["words"], dtype=np.int64).view(np.uint64)
+        items.append(row["item"])
+        hashes.append(h)
+        n += max(1, len(h) - window + 1)
         if n >= size:
             yield Phrases(items, hashes, window)
             items, hashes, n = [], [], 0
@@ -136,11 +153,11 @@ def hits(phrases: Phrases, symbols: np.ndarray, bounds: np.ndarray):
         edge = np.flatnonzero(np.diff(np.concatenate([[0], hit[low:high].astype(np.int8), [0]])))
         spans[int(d)] = edge.reshape(-1, 2)
         own = np.unique(phrase[doc == d])
-        items[int(d)] = np.unique(np.concatenate([phrases.items[phrases.item_at[p] : phrases.item_at[p + 1]] for p in own]))
+        items[int(d)] = phrases.names[np.unique(np.concatenate([phrases.items[phrases.item_at[p] : phrases.item_at[p + 1]] for p in own]))]
     return spans, items
 
 
-FOUND = "doc_id long, row_key string, n_words long, spans array<struct<start:long,end:long,from:long,to:long>>, items array<long>"
+FOUND = "doc_id long, row_key string, n_words long, spans array<struct<start:long,end:long,from:long,to:long>>, items array<string>"
 _SPAN = pa.list_(pa.struct([(k, pa.int64()) for k in ("start", "end", "from", "to")]))
 
 
@@ -166,7 +183,7 @@ def find(docs: DataFrame, phrases) -> DataFrame:
         ]
         item_rows = [items[d].tolist() if d in items else [] for d in range(len(n))]
         return pa.RecordBatch.from_arrays(
-            [ids, keys, pa.array(n), pa.array(span_rows, _SPAN), pa.array(item_rows, pa.list_(pa.int64()))],
+            [ids, keys, pa.array(n), pa.array(span_rows, _SPAN), pa.array(item_rows, pa.list_(pa.string()))],
             names=["doc_id", "row_key", "n_words", "spans", "items"],
         )
 
@@ -193,7 +210,7 @@ def find(docs: DataFrame, phrases) -> DataFrame:
 
 def _none(docs: DataFrame) -> DataFrame:
     """FOUND rows where there are no phrases at all."""
-    bare = Phrases([0], [np.zeros(1, np.uint64)], 1)
+    bare = Phrases(["0"], [np.zeros(1, np.uint64)], 1)
     return find(docs, docs.sparkSession.sparkContext.broadcast(bare)).withColumns(
         {"spans": F.filter("spans", lambda x: F.lit(False)), "items": F.filter("items", lambda x: F.lit(False))}
     )
@@ -201,17 +218,22 @@ def _none(docs: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK_PHRASES) -> DataFrame:
     """FOUND columns for each row of ``docs`` (doc_id, text), from all phrases of ``benchmark`` (item_id, text)."""
-    spark = docs.sparkSession
-    blocks = list(map(spark.sparkContext.broadcast, phrase_blocks(benchmark, window, block)))
-    if len(blocks) == 1:
-        return find(docs.select("doc_id", "text", F.lit("").alias("row_key")), blocks[0]).drop("row_key")
-    if not blocks:
-        return _none(docs.select("doc_id", "text", F.lit("").alias("row_key"))).drop("row_key")
+    send = docs.sparkSession.sparkContext.broadcast
+    blocks = phrase_blocks(benchmark, window, block)
+    first, second = next(blocks, None), next(blocks, None)
+    bare = docs.select("doc_id", "text", F.lit("").alias("row_key"))
+    if first is None:
+        return _none(bare).drop("row_key")
+    if second is None:
+        return find(bare, send(first)).drop("row_key")
     # Rows are told apart by id and text digest; equal rows have equal results, so one row each is searched.
     keyed = docs.select("doc_id", "text", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("row_key"))
-    found = find(keyed, blocks[0])
-    for more in blocks[1:]:
-        found = found.unionByName(find(keyed, more))
+    found = None
+    for phrases in itertools.chain([first, second], blocks):
+        sent = send(phrases)
+        part = materialize(find(keyed, sent))
+        sent.unpersist()
+        found = part if found is None else found.unionByName(part)
     one = found.groupBy("row_key", "doc_id", "n_words").agg(
         F.flatten(F.collect_set("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")
     )
@@ -248,7 +270,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each document."""
     found = contamination(docs, benchmark, window)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
-    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    ids = F.array_join(F.array_sort("items"), ",")
     return found.select(
         "doc_id",
         "n_words",
@@ -269,9 +291,12 @@ def _hit_documents(phrases: Phrases, shard: list[tuple[np.ndarray, np.ndarray]])
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK_PHRASES) -> DataFrame:
     """The documents without any hit word, with all their columns, judged in place row by row."""
-    spark = docs.sparkSession
+    send = docs.sparkSession.sparkContext.broadcast
     at_text = docs.columns.index("text")
-    for phrases in map(spark.sparkContext.broadcast, phrase_blocks(benchmark, window, block)):
+    for k, block_phrases in enumerate(phrase_blocks(benchmark, window, block)):
+        if k:
+            docs = materialize(docs)
+        phrases = send(block_phrases)
 
         def run(batches, phrases=phrases):
             for batch in batches:

@@ -3,16 +3,19 @@
 Features of a document are its distinct words and their prefixes of 4, 5 and 6 bytes, each a 64-bit
 hash, so that inflected forms of a known stem count and features do not collide. Severity grades: 0 for
 documents labelled clean; labelled toxic ones are 1, or 2 if they hold at least as many distinct
-indicative features as the median toxic document (labels have one flag only, so the upper grade is
-derived). All thresholds share one weight vector; the output is the expected severity.
+indicative features as the median toxic document. The labels have one toxic flag, so the upper grade is derived and
+its threshold says how many signs a text has, not what people thought of it; taking the quality flag for it was
+tried and halved what is found, because that flag is independent of toxicity. All thresholds share one weight
+vector; the output is the expected severity.
 
 Fitting uses a bounded sample of labelled rows (``SAMPLE`` documents, those smallest by a seeded digest
-of their id) and screens features by the likelihood ratio of their document counts in it. The model is at most
-``FEATURES`` weights; every document is scored whole, in place, without a shuffle.
+of their id) and screens features by the likelihood ratio of their document counts in it. The model has a weight
+for every feature that passes, at most one for each feature of the sample; every document is scored whole, in
+place, without a shuffle. A document's score depends on its own features only.
 
-Defined results: null and blank texts have no features and get the clean side's score. Labels with null
-doc_id or flag are ignored; repeated labels of an id count once, the higher flag wins. Without any toxic
-label the model is empty and nothing is toxic.
+Defined results: null and blank texts have no features and get the clean side's score; texts of any length are
+scored whole; rows that repeat an id or a text are scored one by one and alike. Labels with null doc_id or flag
+are ignored; repeated labels of an id count once, the higher flag wins. Without any toxic label the model is empty and nothing is toxic. An empty table has no result.
 """
 
 from __future__ import annotations
@@ -28,8 +31,10 @@ from .common import materialize
 from .wordhash import _VALUES, ALNUM, _power_tables, chunks, distinct, mix64, words
 
 SAMPLE = 8_000
-FEATURES = 4_096
+#: Features of fewer sampled documents are not counted: so few cannot reach the bar of the screen.
 MIN_DOCS = 3
+#: Features that are expected to pass the screen by chance.
+BY_CHANCE = 3.0
 PREFIXES = (4, 5, 6)
 GRADES = 3
 #: Features that a task holds before it passes on their partial counts.
@@ -58,14 +63,14 @@ def features(column: pa.Array):
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     """toxic, text of at most ``size`` labelled documents, chosen by a seeded digest of the id."""
     flags = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    chosen = flags.agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.md5(F.concat(F.lit("t:"), F.col("doc_id").cast("string"))), "doc_id")
-    chosen = materialize(chosen.limit(size))
+    flagged = flags.agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = materialize(flagged.orderBy(F.md5(F.concat(F.lit("t:"), F.col("doc_id").cast("string"))), "doc_id").limit(size))
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     # Copies in the sample would count one text's words many times.
     return materialize(found.groupBy(F.xxhash64("text").alias("k"), "toxic").agg(F.first("text").alias("text")).select("toxic", "text"))
 
 
-def screen(sample: DataFrame, most: int = FEATURES) -> np.ndarray:
+def screen(sample: DataFrame, by_chance: float = BY_CHANCE) -> np.ndarray:
     """Hashes of features that stand in toxic documents significantly more often than in clean ones."""
 
     def counted(hashes, toxic):
@@ -79,7 +84,7 @@ def screen(sample: DataFrame, most: int = FEATURES) -> np.ndarray:
     def count(batches):
         hashes, toxic, held = [], [], 0
         for batch in batches:
-            flag = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int8)
+            flag = (batch.column(0).to_numpy(zero_copy_only=False) > 0).astype(np.int8)
             for row, found, at in features(batch.column(1)):
                 hashes.append(found)
                 toxic.append(np.repeat(flag[row : row + len(at) - 1], np.diff(at)))
@@ -90,7 +95,7 @@ def screen(sample: DataFrame, most: int = FEATURES) -> np.ndarray:
         if hashes:
             yield from counted(hashes, toxic)
 
-    totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
+    totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("toxic") > 0).cast("int")), F.lit(0)).alias("t")).first()
     n_toxic, n_clean = totals["t"], totals["n"] - totals["t"]
     if not n_toxic or not n_clean:
         return np.zeros(0, np.uint64)
@@ -101,11 +106,10 @@ def screen(sample: DataFrame, most: int = FEATURES) -> np.ndarray:
     # Log-likelihood ratio of the toxic share among the feature's documents against the sample's.
     ratio = F.col("t") * F.log(F.col("t") / F.col("n") / share)
     ratio += F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - share))).otherwise(0.0)
-    # exp(-ratio) bounds the chance of such a count, so about one feature passes by chance.
-    least = np.log(max(counts.count(), 1))
+    # exp(-ratio) bounds the chance of such a count, so about ``by_chance`` features pass by chance.
+    least = np.log(max(counts.count(), 1) / by_chance)
     indicative = counts.filter(F.col("t") > F.col("n") * share).withColumn("ratio", ratio).filter(F.col("ratio") >= float(least))
-    best = indicative.orderBy(F.desc("ratio"), "f").limit(most)
-    return np.sort(np.array([r["f"] for r in best.select("f").collect()], dtype=np.int64).view(np.uint64))
+    return np.sort(np.array([r["f"] for r in indicative.select("f").collect()], dtype=np.int64).view(np.uint64))
 
 
 @dataclass
@@ -122,8 +126,7 @@ class Model:
         if len(self.known):
             k = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
             value = np.where(self.known[k] == hashes, self.weights[k], 0.0)
-        sums = np.concatenate([[0.0], np.cumsum(value)])
-        return sums[at[1:]] - sums[at[:-1]]
+        return np.bincount(np.repeat(np.arange(len(at) - 1), np.diff(at)), weights=value, minlength=len(at) - 1)
 
     def exceedance(self, score: np.ndarray) -> np.ndarray:
         """(documents, thresholds) probabilities of lying above each threshold."""
@@ -164,10 +167,10 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, n_feat
     return theta[:n_features], np.cumsum(np.concatenate([[theta[n_features]], np.exp(theta[n_features + 1 :])]))
 
 
-def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, by_chance: float = BY_CHANCE) -> Model:
     """Fit on the bounded sample; only the places of screened features reach the driver."""
     sample = labelled_sample(docs, labels, size)
-    known = screen(sample)
+    known = screen(sample, by_chance)
     if not len(known):
         return Model(known, np.zeros(0), np.array([50.0, 51.0]))
 
