@@ -2,6 +2,17 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet in
 the shared folder and reads it again as the next stage's ``docs``.
+
+Defined results of every stage: all columns of its input are kept as they are, nulls included, and columns beyond
+those of documents as well, whatever their names; an empty table gives an empty table.
+
+* toxicity: null and blank texts are never toxic; rows that repeat an id or text are judged one by one and alike.
+* near_duplicates: of a group, and of rows that repeat an id, one row stays; null ids and empty texts have no copies.
+* decontamination: null text has no hits; rows that repeat an id are judged one by one.
+* mixing: null languages and sources are leaves of their own; a leaf without tokens is taken whole; rows that repeat
+  an id in a leaf go together, null ids too.
+* sharding: null ids and repeated rows each get their own slot. The result adds the plan's columns; input columns of
+  those names are in the shard files but not in the result.
 """
 
 from __future__ import annotations
