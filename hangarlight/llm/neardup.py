@@ -157,8 +157,9 @@ def _hub_pairs(classes: DataFrame) -> DataFrame:
     hot = hot_from(counts, key, "c")
     shared = materialize(join_hot(banded, counts, key, hot=hot))
     weight = shared.groupBy("id").agg(F.sum("c").alias("weight"))
-    central = F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub")
-    hubs = shared.join(weight, "id").groupBy(*key).agg(central)
+    # Ties go to the smallest document, which is the same in every bucket.
+    central = F.min_by("id", F.struct(-F.col("weight"), "doc", "id")).alias("hub")
+    hubs = shared.join(weight.join(classes.select("id", "doc"), "id"), "id").groupBy(*key).agg(central)
     met = join_hot(shared, hubs, key, hot=hot).filter("id <> hub")
     return met.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
 
