@@ -1,12 +1,15 @@
 """The published feed: day-over-day diff with soft deletes, changelog, run log, snapshots and reads.
 
-Tables are Parquet directories under one root. A publication writes a new version of every table and
-then replaces the pointer file, so readers see all of the old version or all of the new one.
+Tables are Parquet directories under one root. A publication writes a new version of every table and then adds a
+numbered marker that names it; markers are never changed or removed, and the highest one counts. Creating a marker
+is one step of the file system, so readers see all of the old version or all of the new one, and a run that dies
+before it leaves the old version in place. A lock file keeps two runs from publishing at once.
 """
 
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +88,10 @@ def flight_departments(current: DataFrame) -> DataFrame:
     return current.filter("deleted_at is null and not aviation_issuer and fleet_size between 1 and 6")
 
 
+class FeedBusy(RuntimeError):
+    """Another run holds the feed."""
+
+
 class Feed:
     """A versioned folder of the feed's tables, readable wherever Spark reads."""
 
@@ -103,9 +110,28 @@ class Feed:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    def _markers(self) -> list[str]:
+        fs, folder = self._path("published")
+        return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
     def version(self) -> str | None:
-        fs, pointer = self._path("CURRENT")
-        return self.spark.read.text(f"{self.root}/CURRENT").first()[0] if fs.exists(pointer) else None
+        markers = self._markers()
+        return markers[-1].split(".", 1)[1] if markers else None
+
+    @contextmanager
+    def _locked(self):
+        fs, lock = self._path("LOCK")
+        if not fs.createNewFile(lock):
+            raise FeedBusy(f"{lock} exists: another run publishes, or one died; then call unlock()")
+        try:
+            yield
+        finally:
+            fs.delete(lock, False)
+
+    def unlock(self) -> None:
+        """Remove the lock that a dead run has left."""
+        fs, lock = self._path("LOCK")
+        fs.delete(lock, False)
 
     def table(self, name: str) -> DataFrame:
         version = self.version()
@@ -117,12 +143,11 @@ class Feed:
         version = f"v-{uuid.uuid4().hex}"
         for name, df in tables.items():
             df.write.parquet(f"{self.root}/{version}/{name}")
-        staged = f"POINTER-{version}"
-        self.spark.createDataFrame([(version,)], "value string").coalesce(1).write.text(f"{self.root}/{staged}")
-        fs, pointer = self._path("CURRENT")
-        _, new = self._path(staged)
-        fs.delete(pointer, True)
-        fs.rename(new, pointer)
+        markers = self._markers()
+        number = int(markers[-1].split(".", 1)[0]) + 1 if markers else 1
+        fs, marker = self._path(f"published/{number:010d}.{version}")
+        if not fs.createNewFile(marker):
+            raise FeedBusy(f"{marker} exists")
 
     def apply(
         self,
@@ -146,6 +171,10 @@ class Feed:
         probe = self.spark.range(1).select(is_calendar_day(F.lit(as_of)).alias("d"), is_utc_instant(F.lit(recorded_at)).alias("i")).first()
         if not probe["d"] or not probe["i"]:
             raise ValueError(f"not a UTC day and instant: {as_of}, {recorded_at}")
+        with self._locked():
+            self._apply(as_of, recorded_at, deleted_at, published, review, unresolved, aircraft, subsidiaries, gold, offline, skip_subsidiaries)
+
+    def _apply(self, as_of, recorded_at, deleted_at, published, review, unresolved, aircraft, subsidiaries, gold, offline, skip_subsidiaries) -> None:
         current, log = self.table("mappings_current"), self.table("changelog")
         gates.check_master_floor(aircraft, offline)
         gates.check_subsidiaries(subsidiaries, skip_subsidiaries)

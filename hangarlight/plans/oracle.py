@@ -251,7 +251,7 @@ def oracles() -> dict[str, str]:
             SELECT k.ticker, k.cik, k.name, a.n_number, CASE WHEN why IS NOT NULL THEN 'airframe:' || why WHEN class <> 'eligible' THEN 'class:' || class WHEN u.must_not_ticker = k.ticker THEN 'unpublished_suppress'
               WHEN p.ticker = k.ticker THEN 'already_published_same_ticker' WHEN p.ticker IS NOT NULL THEN 'published_other_ticker' WHEN r.n_number IS NOT NULL THEN 'review_queue' WHEN x.tickers = [k.ticker] THEN 'already_in_name_index' WHEN x.tickers IS NOT NULL THEN 'uniqueness_collision' ELSE 'addable' END AS reason
             FROM k JOIN air a ON ak = k.nk LEFT JOIN pub p ON p.n_number = a.n_number LEFT JOIN rev r ON r.n_number = a.n_number LEFT JOIN unpublished u ON u.n_number = a.n_number LEFT JOIN nidx x ON x.key = k.nk WHERE k.nk <> ''""",
-        "unpublished_fps": f"WITH {DECIDED} SELECT p.n_number, p.ticker FROM pub p JOIN unpublished u ON u.n_number = p.n_number AND upper(u.must_not_ticker) = p.ticker",
+        "unpublished_fps": f"WITH {DECIDED} SELECT DISTINCT p.n_number, p.ticker FROM pub p JOIN rubric u ON u.n_number = p.n_number AND upper(u.must_not_ticker) = p.ticker",
         "harvest_stats": f"WITH {cte('edgar_hits')} SELECT n_number, count(DISTINCT cik) AS ciks, count(*) AS hits, count(DISTINCT cik) = 1 AS unique_cik FROM edgar_hits GROUP BY n_number",
         "top_tickers": f"WITH {DECIDED} SELECT ticker, count(*) AS n FROM pub GROUP BY 1 ORDER BY n DESC, ticker LIMIT 15",
         "stratified_sample": f"""WITH {DECIDED}, r AS (SELECT n_number, match_method, row_number() OVER (PARTITION BY match_method ORDER BY md5('43:' || n_number), n_number) AS pick FROM pub)

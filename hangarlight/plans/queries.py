@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -29,16 +31,28 @@ def joined(column: str) -> Column:
     return F.coalesce(F.array_join(column, "|"), F.lit("")).alias(column)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder: computed once, short in plans, and safe from lost executors."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    path = f"{sc.getCheckpointDir()}/world_{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class World:
-    """The universe with the usual preparation steps. Listings and decisions are kept, since every report filters them."""
+    """The universe with the usual preparation steps. Inputs, listings and decisions are stored, since every report reads them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.t = U.Universe(spark, sf_dir)
 
-    def release(self) -> None:
-        for name in ("companies", "_decided"):
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
+    @cached_property
+    def aircraft(self) -> DataFrame:
+        return stored(self.t["aircraft"])
 
     @cached_property
     def filled(self) -> DataFrame:
@@ -46,7 +60,7 @@ class World:
 
     @cached_property
     def companies(self) -> DataFrame:
-        return listings.apply_aliases(self.filled, self.t["aliases"]).persist()
+        return stored(listings.apply_aliases(self.filled, self.t["aliases"]))
 
     @cached_property
     def primary(self) -> DataFrame:
@@ -60,7 +74,7 @@ class World:
     def _decided(self) -> DataFrame:
         t = self.t
         evidence = resolve.Evidence(self.companies, t["subsidiaries"], t["edgar_hits"], t["licences"], t["overrides"], t["unpublished"])
-        return resolve.decide(t["aircraft"], evidence, SOURCE).persist()
+        return stored(resolve.decide(self.aircraft, evidence, SOURCE))
 
     def decided(self) -> DataFrame:
         return self._decided
@@ -80,27 +94,29 @@ _worlds: dict[tuple[str, str], World] = {}
 
 
 def world(spark: SparkSession, sf_dir: str) -> World:
-    """The world of a folder; one at a time is kept, and asking for another releases it."""
+    """The world of a folder; one at a time is kept."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _worlds:
-        for old in list(_worlds):
-            if old[0] == key[0]:
-                _worlds[old].release()
-            del _worlds[old]
+        forget()
         _worlds[key] = World(spark, sf_dir)
     return _worlds[key]
 
 
+def forget() -> None:
+    """Drop what earlier queries have stored, so that the next one starts cold."""
+    _worlds.clear()
+
+
 @query
 def normalize_names(spark, sf_dir):
     norm = E.normalize_name(F.col("registrant_name"))
-    return world(spark, sf_dir).t["aircraft"].select("n_number", norm.alias("norm"), E.distinctive_core(norm).alias("core"))
+    return world(spark, sf_dir).aircraft.select("n_number", norm.alias("norm"), E.distinctive_core(norm).alias("core"))
 
 
 @query
 def normalize_addresses(spark, sf_dir):
     key = E.normalize_address(F.col("street"), F.col("city"), F.col("state"))
-    return world(spark, sf_dir).t["aircraft"].select("n_number", key.alias("address"))
+    return world(spark, sf_dir).aircraft.select("n_number", key.alias("address"))
 
 
 @query
@@ -115,13 +131,13 @@ def canonical_keys(spark, sf_dir):
 
 @query
 def corporate_filter_reasons(spark, sf_dir):
-    return world(spark, sf_dir).t["aircraft"].select("n_number", F.coalesce(E.corporate_reason(F.col), F.lit("")).alias("reason"))
+    return world(spark, sf_dir).aircraft.select("n_number", F.coalesce(E.corporate_reason(F.col), F.lit("")).alias("reason"))
 
 
 @query
 def classify_registrants(spark, sf_dir):
     kind = E.classify_registrant(F.col("registrant_name"), F.trim("type_registrant") == "1", F.col("fractional_owner"))
-    return world(spark, sf_dir).t["aircraft"].select("n_number", kind.alias("class"))
+    return world(spark, sf_dir).aircraft.select("n_number", kind.alias("class"))
 
 
 @query
@@ -269,13 +285,13 @@ def lookup(spark, sf_dir):
 @query
 def eval_gold(spark, sf_dir):
     w = world(spark, sf_dir)
-    return evaluate.evaluate_gold(w.gold, w.published(), w.t["aircraft"], w.trusts())
+    return evaluate.evaluate_gold(w.gold, w.published(), w.aircraft, w.trusts())
 
 
 @query
 def eval_rubric(spark, sf_dir):
     w = world(spark, sf_dir)
-    return evaluate.evaluate_rubric(w.t["rubric"], w.published(), w.t["aircraft"])
+    return evaluate.evaluate_rubric(w.t["rubric"], w.published(), w.aircraft)
 
 
 @query
@@ -286,26 +302,27 @@ def scorecard_coverage(spark, sf_dir):
 @query
 def gold_miss_buckets(spark, sf_dir):
     w = world(spark, sf_dir)
-    return analytics.gold_miss_buckets(w.gold["companies"], w.published(), w.review(), w.t["aircraft"], w.trusts())
+    return analytics.gold_miss_buckets(w.gold["companies"], w.published(), w.review(), w.aircraft, w.trusts())
 
 
 @query
 def name_precision(spark, sf_dir):
     w = world(spark, sf_dir)
-    return analytics.name_precision(w.gold["companies"], w.published(), w.t["aircraft"])
+    return analytics.name_precision(w.gold["companies"], w.published(), w.aircraft)
 
 
 @query
 def alias_reasons(spark, sf_dir):
     w = world(spark, sf_dir)
     names = indexes.name_index(w.primary)
-    return analytics.alias_reasons(w.gold["companies"], names, w.t["aircraft"], w.published(), w.review(), w.t["unpublished"])
+    return analytics.alias_reasons(w.gold["companies"], names, w.aircraft, w.published(), w.review(), w.t["unpublished"])
 
 
 @query
 def unpublished_fps(spark, sf_dir):
     w = world(spark, sf_dir)
-    return analytics.unpublished_false_positives(w.t["unpublished"], w.published())
+    # Pairs of the rubric: those of the unpublished list are suppressed before publication.
+    return analytics.unpublished_false_positives(w.t["rubric"].filter("must_not_ticker <> ''"), w.published())
 
 
 @query

@@ -61,9 +61,11 @@ def read_tickers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_tickers(companies: DataFrame, path: str) -> None:
-    """The columnar shape again, as JSON lines of [cik, name, ticker, exchange] under one fields row."""
-    row = F.to_json(F.array("cik", "name", "ticker", "exchange"))
-    companies.select(row.alias("value")).write.mode("overwrite").text(path)
+    """The columnar shape again, {fields, data} as one JSON value in the order of ``ord``; the format has no smaller unit."""
+    fields = ("cik", "name", "ticker", "exchange")
+    rows = F.array_sort(F.collect_list(F.struct("ord", F.array(*fields).alias("row"))))
+    value = F.to_json(F.struct(F.array(*map(F.lit, fields)).alias("fields"), F.col("rows.row").alias("data")))
+    companies.agg(rows.alias("rows")).select(value.alias("value")).write.mode("overwrite").text(path)
 
 
 def read_addresses(spark: SparkSession, path: str) -> DataFrame:

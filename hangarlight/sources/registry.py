@@ -130,24 +130,36 @@ def from_tables(aircraft: DataFrame, reference: DataFrame) -> DataFrame:
     return _with_reference(renamed.withColumn("fractional_owner", F.coalesce(flag, F.lit(False))), once)
 
 
-def read_sqlite_table(spark: SparkSession, path: str, name: str, schema: str, columns: str, where: str = "1=1") -> DataFrame:
-    """A table of a SQLite file, streamed in batches by the driver into Parquet-backed rows.
+def read_sqlite_table(spark: SparkSession, path: str, name: str, schema: str, columns: str, where: str = "1=1", rows: int = 200_000) -> DataFrame:
+    """A table of a SQLite file in a folder that all executors share, read by tasks in ranges of row ids.
 
-    SQLite files are single-host by nature; filters and columns are pushed into its SQL.
+    The driver asks for the range of row ids only; each task streams its own ``rows`` of it, read-only.
     """
     import sqlite3
 
     import pyarrow as pa
 
     target = spark.createDataFrame([], schema).schema
-    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
-        cursor = db.execute(f"SELECT {columns} FROM {name} WHERE {where}")
-        out = None
-        while rows := cursor.fetchmany(200_000):
-            table = pa.Table.from_pylist([dict(zip(target.names, r, strict=True)) for r in rows]) if rows else None
-            part = spark.createDataFrame(table.select(target.names).to_pandas(), target)
-            out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+    names = target.names
+    types = [{"int": pa.int32(), "bigint": pa.int64()}.get(f.dataType.simpleString(), pa.string()) for f in target]
+
+    def opened():
+        return sqlite3.connect(f"file:{path}?mode=ro", uri=True)
+
+    with opened() as db:
+        low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {name}").fetchone()
+    if low is None:
+        return spark.createDataFrame([], schema)
+
+    def run(batches):
+        with opened() as db:
+            for start in (s for batch in batches for s in batch.column(0).to_pylist()):
+                cursor = db.execute(f"SELECT {columns} FROM {name} WHERE ({where}) AND rowid >= ? AND rowid < ?", (start, start + rows))
+                while found := cursor.fetchmany(20_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)], names=names)
+
+    starts = spark.range(low, high + 1, rows, numPartitions=(high - low) // rows + 1)
+    return starts.mapInArrow(run, target)
 
 
 def read_sqlite(spark: SparkSession, path: str) -> DataFrame:

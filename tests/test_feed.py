@@ -1,9 +1,14 @@
 """A feed that a gate refuses leaves the old one."""
 
+import dataclasses
+
 import pytest
+from pyspark.sql import DataFrameWriter
 
-from hangarlight.operators.feed import Feed
+from hangarlight.operators.feed import Feed, FeedBusy
 from hangarlight.operators.gates import GateError
+from hangarlight.operators.refresh import Inputs, refresh
+from hangarlight.plans import universe as U
 from hangarlight.sources.schemas import CURRENT, MAPPING_COLUMNS
 
 GOOD = {"aircraft": 300_000, "subsidiaries": 1, "gold": {"tail_false_positives": 0}}
@@ -34,3 +39,46 @@ def test_refused_feeds_leave_the_old_one(spark, tmp_path):
     assert feed.table("mappings_current").filter("deleted_at is null").count() == 120
     apply("2026-09-02", 60, aircraft=5, offline=True, subsidiaries=0, skip_subsidiaries=True)
     assert feed.version() != version and feed.table("mappings_current").filter("deleted_at is null").count() == 60
+
+
+def test_refresh_publishes_or_leaves_everything(spark, tmp_path, monkeypatch):
+    """A whole day; then a refused gate, a crash between two tables, a crash after all of them, and a held lock."""
+    t = U.Universe(spark, "/root/testdata/sf0.001")
+    gold = U.gold(t)
+    inputs = Inputs(
+        t["aircraft"], U.listed(t), U.addresses(t), t["aliases"], t["subsidiaries"], t["edgar_hits"], t["licences"], t["overrides"], t["unpublished"], gold, ["TAAA"], ["RING"]
+    )
+    feed = Feed(spark, str(tmp_path / "feed"))
+
+    def run(day, inputs=inputs, **other):
+        return refresh(feed, inputs, "registry", day, f"{day}T00:00:00Z", 5, **({"offline": True} | other))
+
+    report = run("2026-09-01")
+    version, rows = feed.version(), feed.table("mappings_current").count()
+    assert report["tail_false_positives"] == 0 and rows > 0
+    assert feed.table("changelog").filter("change = 'new'").count() == rows
+    assert {r.as_of_date for r in feed.table("refresh_run").collect()} == {"2026-09-01"}
+    assert spark.read.parquet(f"{feed.root}/snapshots/as_of=2026-09-01/mappings_current").count() == rows
+    with pytest.raises(GateError):
+        run("2026-09-02", offline=False)
+    with pytest.raises(GateError):
+        run("2026-09-02", dataclasses.replace(inputs, subsidiaries=t["subsidiaries"].limit(0)))
+    plain = DataFrameWriter.parquet
+    for last in ("changelog", "refresh_run"):
+
+        def crash(self, path, *a, last=last, **k):
+            plain(self, path, *a, **k)
+            if path.endswith(last):
+                raise OSError("disk")
+
+        monkeypatch.setattr(DataFrameWriter, "parquet", crash)
+        with pytest.raises(OSError):
+            run("2026-09-02")
+        monkeypatch.setattr(DataFrameWriter, "parquet", plain)
+        assert feed.version() == version and feed.table("mappings_current").count() == rows
+    with feed._locked(), pytest.raises(FeedBusy):
+        run("2026-09-02")
+    run("2026-09-02")
+    assert feed.version() != version
+    # Nothing changed, so the log has no new lines, and quiet rows keep their day.
+    assert feed.table("changelog").count() == rows and feed.table("mappings_current").filter("as_of_date = '2026-09-01'").count() == rows
