@@ -10,7 +10,7 @@ How it stays whole and bounded:
   a link needs ``|x and y| >= ceil(t (|x| + |y|) / (1 + t))``, and at most ``min(|x and H|, |y and H|)`` of
   these shingles lie inside H. So either x and y share a shingle outside H, or both overlaps with H reach
   that bound. The first kind is found by a join on shingles outside the hub, cut to each member's rarest
-  ones (prefix filter); the second by a join on size classes, where a member meets only the sizes that its
+  ones (prefix filter) and to pairs whose shingles from there on can do for a link (positional filter); the second by a join on size classes, where a member meets only the sizes that its
   overlap allows. Both start from members outside the hub's component. A passage that many documents share
   lies inside the hub and makes no pairs.
 * A class, bucket, hub or shingle that holds many rows is dealt over several tasks (``join_hot``).
@@ -191,7 +191,7 @@ def _missed_pairs(compared: DataFrame, known: DataFrame, threshold: int) -> Data
     members = materialize(compared.select("a", "b", "na", "inter", "rest").join(chosen, ["a", "b"]))
     smallest = F.greatest(F.col("na") * threshold / 100, F.lit(1))  # a partner is no smaller than this
     k = F.greatest(F.lit(1), _needed(F.col("na"), smallest, threshold) - F.col("inter"))
-    rows = members.select("a", "b", "own", "minor", "na", F.size("rest").alias("d"), k.alias("k"), "rest").filter("k <= d")
+    rows = members.select("a", "b", "own", "minor", "na", "inter", F.size("rest").alias("d"), k.alias("k"), "rest").filter("k <= d")
     rows = rows.withColumn("s", F.explode("rest")).drop("rest")
     shared = materialize(
         rows.groupBy("b", "s").agg(
@@ -202,11 +202,16 @@ def _missed_pairs(compared: DataFrame, known: DataFrame, threshold: int) -> Data
     each = Window.partitionBy("a", "b")
     # Shingles that make no pair count as the rarest ones.
     rank = F.col("d") - F.count("*").over(each) + F.row_number().over(each.orderBy("c", "s"))
-    prefix = materialize(met.withColumn("rank", rank).filter("rank <= d - k + 1").select("b", "s", "a", "own", "minor", "na"))
+    left = F.col("d") - F.col("rank") + 1  # shingles from this one on
+    prefix = met.withColumn("rank", rank).filter("rank <= d - k + 1")
+    prefix = materialize(prefix.select("b", "s", "a", "own", "minor", "na", "inter", left.alias("left")))
     x, y = _of(prefix.filter("minor"), "_x", ["b", "s"]), _of(prefix, "_y", ["b", "s"])
+    # At the first shingle that a pair shares, what is left of both and their overlaps with the hub must do for a link.
+    enough = F.least("left_x", "left_y") + F.least("inter_x", "inter_y") >= _needed(F.col("na_x"), F.col("na_y"), threshold)
+    sizes = 100 * F.least("na_x", "na_y") >= threshold * F.greatest("na_x", "na_y")
     outside = (
         join_hot(x, y, ["b", "s"])
-        .filter((F.col("own_x") != F.col("own_y")) & (100 * F.least("na_x", "na_y") >= threshold * F.greatest("na_x", "na_y")))
+        .filter((F.col("own_x") != F.col("own_y")) & sizes & enough)
         .select(F.col("a_x").alias("p"), F.col("a_y").alias("q"))
     )
     # Without a shingle outside the hub, a partner is at most as large as the overlap with the hub allows.
