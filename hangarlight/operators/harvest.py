@@ -39,8 +39,9 @@ def unescape_all(text: Column) -> Column:
 
 
 def decode(raw: Column) -> Column:
-    """Bytes as UTF-8 text, with invalid sequences left out."""
-    return F.regexp_replace(F.decode(raw, "UTF-8"), "�", "")
+    """Bytes as UTF-8 text, with invalid sequences left out; from texts that have any, written U+FFFD go too."""
+    text = raw.cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("�"), F.lit("")))
 
 
 def keyword_hit(text: Column) -> Column:

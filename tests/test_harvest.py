@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from hangarlight.functions import dicts as D
 from hangarlight.operators import harvest
 from hangarlight.plans.queries import QUERIES
@@ -29,6 +31,50 @@ def test_extract_hits_on_odd_texts(spark):
     assert hits(harvest.extract_hits(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+def test_texts_become_plain(spark):
+    rows = [(b"<p>A&amp;B &lt;x&gt;</p>",), (b"caf\xc3\xa9 \xff!\xe2\x82",), ("kept \ufffd".encode(),), (b"",), (None,)]
+    raw = spark.createDataFrame(rows, "raw binary").select(harvest.decode(F.col("raw")).alias("t"))
+    assert [r[0] for r in raw.select(harvest.to_plain_text(F.col("t"))).collect()] == [" A&B <x> ", "café !", "kept \ufffd", "", None]
+    more = spark.createDataFrame([("&eacute;&#8217;&amp;",), (None,)], "t string")
+    assert [r[0] for r in more.select(harvest.unescape_all(F.col("t"))).collect()] == ["é’&", None]
+
+
+def test_documents_of_a_filing(spark):
+    """From a hit's id and an index page to the document's address."""
+    ids = [("0-1:a.htm", "a.htm"), ("0-1:a", "a"), ("0-2:a", None), ("0-2:b.TXT", "b.TXT"), ("0-1:x.jpg", None), ("0-1:x-index.html", None), ("c.html", "c.html"), ("c", None), ("", None), (None, None)]
+    found = spark.createDataFrame(ids, "id string, wanted string").select("wanted", harvest.document_filename(F.col("id"), F.lit("0-1")).alias("got"))
+    assert [(r.wanted, r.got) for r in found.collect()] == [(w, w) for _, w in ids]
+
+    def row(k, path):
+        return f'<td scope="row">{k}</td> <td scope="row">x</td> <td scope="row"><a href="{path}">d</a></td>'
+
+    page = row(1, "/ix?doc=/Archives/edgar/data/12/34/main.htm") + row(2, "/Archives/edgar/data/12/34/ex.htm") + row(3, "/Archives/edgar/data/12/34/p.pdf")
+    plain = 'href="/Archives/edgar/data/12/34/0-index.html" HREF="/Archives/edgar/data/12/34/other.html"'
+    pages = spark.createDataFrame([(page,), (plain,), ("",), (None,)], "html string")
+    at = harvest.ARCHIVE + "/Archives/edgar/data/12/34/"
+    of = pages.select(*[harvest.document_url_for_sequence(F.col("html"), F.lit(k)) for k in (1, 2, 3, 4)]).first()
+    assert tuple(of) == (at + "main.htm", at + "ex.htm", None, None)
+    whole = harvest.ARCHIVE + "/Archives/edgar/data/12/00/0-0.txt"
+    primary = pages.select(harvest.primary_document_url(F.col("html"), F.lit("0012"), F.lit("0-0"))).collect()
+    assert [r[0] for r in primary] == [at + "main.htm", at + "other.html", whole, whole]
+    names = [("Alpha Inc (AA) (CIK 12)", "AA"), ("Beta (BB.A, BB)", None), ("none", None), (None, None)]
+    tickers = spark.createDataFrame(names, "n string, wanted string").select(harvest.ticker_of_display_name(F.col("n")).alias("got"))
+    assert [r.got for r in tickers.collect()] == [w for _, w in names]
+
+
+def test_harvest_from_hits_to_records(spark):
+    hits = [("12", "0-1", "a.htm", 3), ("12", "0-1", "A.HTM", 1), ("12", "0-1", "b.htm", 2), ("9", "0-1", "a.htm", 0)]
+    first = harvest.first_filings(spark.createDataFrame(hits, "cik string, accession string, filename string, ord long"), 2)
+    assert [(r.cik, r.filename, r.ord) for r in first.collect()] == [("9", "a.htm", 0), ("12", "A.HTM", 1)]
+    rows = [("12", "AA", "0-1", "10-K", "N123", "s" * 600, "u"), ("12345678901", None, "0-1", "8-K", "N124", None, "u"), ("x", "", "", "", "N1", "", "")]
+    schema = "cik string, ticker string, accession string, form string, n_number string, snippet string, filing_url string"
+    made = harvest.records(spark.createDataFrame(rows, schema)).collect()
+    assert [(r.cik, r.snippet) for r in made] == [("0000000012", "s" * 500), ("12345678901", None), ("x", "")] and all(r.keyword_hit for r in made)
+    texts = spark.createDataFrame([(1, "aircraft N123 and N124"), (2, "bond N125"), (3, None)], "doc_id long, text string")
+    allow = spark.createDataFrame([("N123",), ("N123",), ("N125",)], "n_number string")
+    assert tuple(harvest.diagnostics(texts, allow).first()) == (3, 3, 2, 1)
+
+
 def test_query_reads_the_whole_documents(spark, tmp_path):
     real = "before " * 3000 + "our Gulfstream N7XY flew " + "after " * 3000
     rows = [(1, real, "en"), (2, None, "de"), (3, "", "en"), (4, "ä" * 4001, None)]
