@@ -7,11 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hilbert, linededup, mixing, neardup, pii, reshard, tokencount, toxicity, urlfilter
-from .common import checkpoint_dir, table
+from . import alignment, decontaminate, hilbert, linededup, mixing, neardup, periodic, pii, reshard, tokencount, tokenrecords, toxicity, urlfilter
+from .common import checkpoint_dir, materialize, table
 
 #: The tokenizer of op2, from the public vocabulary files on the machine.
 TOKENIZER = "piece_bpe_32k.model"
+#: The tokenizer of op11, and the first one of op13; the id that ends each document of op11.
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +62,39 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_report(table(spark, sf_dir, "documents"))
 
 
+def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{checkpoint_dir(spark)}/tokens_{uuid.uuid4().hex}"
+    tokenrecords.write_tokens(table(spark, sf_dir, "documents"), path, str(public_tokenizers.path(BYTE_TOKENIZER)), END_ID)
+    return tokenrecords.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = periodic.periodic_runs(docs.withColumn("text", periodic.repeat_tail(F.col("text"), F.col("doc_id"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(F.lit(1000) * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [str(public_tokenizers.path(name)) for name in (BYTE_TOKENIZER, TOKENIZER)]
+    aligned = alignment.align(table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    stored = materialize(aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "a", "b", "n"))
+    return alignment.score_links(stored)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +108,9 @@ QUERIES = {
         op8_nearest_neighbours,
         op9_toxicity,
         op10_personal_data,
+        op11_token_records,
+        op12_periodic_runs,
+        op13_tokenizer_alignment,
     )
 }
 
