@@ -54,11 +54,39 @@ def gold_names(companies: DataFrame) -> DataFrame:
     return names.withColumn("norm", normalize_name(F.col("name"))).filter("norm <> ''")
 
 
+#: Least length of a gold name that may stand inside a longer name, and so the length of the grams that index it.
+GRAM = 6
+
+
+def _grams(text: Column) -> Column:
+    """The distinct stretches of GRAM characters; none of shorter texts."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - GRAM + 1, F.lit(1)))
+    return F.when(F.length(text) >= GRAM, F.array_distinct(F.transform(places, lambda k: F.substring(text, k, F.lit(GRAM))))).otherwise(F.array().cast("array<string>"))
+
+
+def names_within(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(norm, text) of all pairs where the text is the name, or holds it and the name has GRAM characters or more.
+
+    ``texts``: text; ``names``: norm. Both are made distinct. A text that holds a name holds each of the name's grams, so
+    each name waits at one gram alone, the one that the fewest texts hold, and a text meets the names that wait at
+    its own grams: joins by equality, with about as many rows as the texts have characters. Names with a gram that no text
+    holds are in no text.
+    """
+    texts, names = texts.select("text").distinct(), names.select("norm").distinct()
+    held = texts.select("text", F.explode(_grams(F.col("text"))).alias("gram"))
+    asked = names.select("norm", F.explode(_grams(F.col("norm"))).alias("gram"))
+    counts = held.join(asked.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = asked.join(counts, "gram", "left").groupBy("norm").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r"))
+    waiting = rarest.filter("r.n > 0").select("norm", "r.gram")
+    inside = held.join(waiting, "gram").filter(F.col("text").contains(F.col("norm"))).select("norm", "text")
+    equal = texts.join(names, F.col("text") == F.col("norm")).filter(F.length("norm") < GRAM).select("norm", "text")
+    return inside.unionByName(equal)
+
+
 def gold_miss_buckets(companies: DataFrame, published: DataFrame, review: DataFrame, aircraft: DataFrame, trusts: DataFrame) -> DataFrame:
     """ticker, bucket and counters: where each gold company got stuck, by precedence.
 
-    Names meet aircraft by equal norm. Unresolved trusts may also contain a name of 6 or more characters: a
-    substring join, where the gold names are the given, small side.
+    Names meet aircraft by equal norm. Unresolved trusts may also contain a name of 6 or more characters.
     """
     names = gold_names(companies).select("ticker", "norm").distinct()
     keyed = aircraft.select("n_number", normalize_name(F.col("registrant_name")).alias("norm"), census_reason(F.col).alias("airframe"))
@@ -67,8 +95,8 @@ def gold_miss_buckets(companies: DataFrame, published: DataFrame, review: DataFr
     tails = names.join(keyed, "norm").groupBy("ticker", "n_number").agg(F.min("airframe").alias("airframe"))
     met = tails.groupBy("ticker").agg(F.count("*").alias("master_n"), F.count(F.when(F.col("airframe").isNull(), 1)).alias("airframe_pass_n"))
     trust = trusts.select("n_number", normalize_name(F.col("registrant_name")).alias("trust"))
-    fits = (F.col("trust") == F.col("norm")) | ((F.length("norm") >= 6) & F.col("trust").contains(F.col("norm")))
-    in_trust = trust.join(F.broadcast(names), fits).groupBy("ticker").agg(F.countDistinct("n_number").alias("trust_n"))
+    within = names_within(trust.select(F.col("trust").alias("text")), names).withColumnRenamed("text", "trust")
+    in_trust = names.join(within, "norm").join(trust, "trust").groupBy("ticker").agg(F.countDistinct("n_number").alias("trust_n"))
     every = companies.select(F.upper("ticker").alias("ticker")).distinct()
     for part in (on_feed, held, met, in_trust):
         every = every.join(part, "ticker", "left")

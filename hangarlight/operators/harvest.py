@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import html as html_entities
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dicts as D
+from ..functions.entities import unescape
 from ..functions.exprs import any_needle
 
 ARCHIVE = "https://www.sec.gov"
-# The entities that plain filings use; others go through the full table.
-COMMON_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
+#: Characters of a block of a text, which is searched in one step.
+BLOCK = 1024
+#: Characters before a block and after it that decide where a word of it starts and ends.
+BEFORE, AFTER = 64, 7
 
 
 def strip_tags(html: Column) -> Column:
@@ -22,20 +23,8 @@ def strip_tags(html: Column) -> Column:
 
 
 def to_plain_text(html: Column) -> Column:
-    """Tags become blanks, then the common entities are decoded; script and style text stays."""
-    out = strip_tags(html)
-    for entity, char in COMMON_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
-
-
-def unescape_all(text: Column) -> Column:
-    """Every named and numeric entity, in Arrow batches; for texts with more than the common ones."""
-
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(html_entities.unescape, na_action="ignore")
-
-    return F.pandas_udf(run, "string")(text)
+    """Tags become blanks, then all character references are decoded once; script and style text stays."""
+    return unescape(strip_tags(html))
 
 
 def decode(raw: Column) -> Column:
@@ -48,36 +37,62 @@ def keyword_hit(text: Column) -> Column:
     return any_needle(F.lower(text), D.FILING_KEYWORDS)
 
 
-def extract_hits(texts: DataFrame, allow: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_number, pos, snippet for each registration number with a filing keyword nearby.
-
-    ``texts`` has doc_id and plain text. Offsets come from the pieces between matches, so one pass of the
-    regular expression places all matches; the margins are cut by character position.
-    """
-    found = texts.select("doc_id", "text", F.regexp_extract_all("text", F.lit(f"({D.N_NUMBER_PATTERN})"), F.lit(1)).alias("ns")).filter(F.size("ns") > 0)
-    pieces = F.split("text", D.N_NUMBER_PATTERN, -1)
-    # Both arrays are arguments, so the text is split once and not once a match.
-    ends = F.zip_with("ns", F.slice("pieces", F.lit(1), F.size("ns")), lambda n, piece: F.struct(n.alias("n"), F.length(piece).alias("gap")))
+def _matches(window: Column, before: Column, size: Column) -> Column:
+    """n_number and at (in ``window``) of the matches that start in its ``size`` characters after ``before``."""
+    low = F.greatest(before - BEFORE, F.lit(0))
+    text = F.substring(window, low + 1, before - low + size + AFTER)
+    found, gaps = F.regexp_extract_all(text, F.lit(f"({D.N_NUMBER_PATTERN})"), F.lit(1)), F.split(text, D.N_NUMBER_PATTERN, -1)
     walked = F.aggregate(
-        "steps",
-        F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<n:string,at:int>>").alias("out")),
+        F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda n, gap: F.struct(n.alias("n"), F.length(gap).alias("gap"))),
+        F.struct(low.alias("pos"), F.array().cast("array<struct<n:string,at:int>>").alias("out")),
+        # At most a quarter of BLOCK matches lie in a window, so appending is cheap.
         lambda acc, x: F.struct(
-            (acc["pos"] + x["gap"] + F.length(x["n"])).alias("pos"),
-            F.concat(acc["out"], F.array(F.struct(x["n"].alias("n"), (acc["pos"] + x["gap"]).alias("at")))).alias("out"),
+            (acc["pos"] + x["gap"] + F.length(x["n"])).alias("pos"), F.array_append(acc["out"], F.struct(x["n"].alias("n"), (acc["pos"] + x["gap"]).alias("at"))).alias("out")
         ),
     )["out"]
-    rows = found.withColumn("pieces", pieces).withColumn("steps", ends).select("doc_id", "text", F.explode(walked).alias("m"))
-    rows = rows.select("doc_id", "text", F.col("m.n").alias("n_number"), F.col("m.at").alias("pos"))
-    if allow is not None:
-        rows = rows.join(allow.select("n_number").distinct(), "n_number", "left_semi")
+    return F.filter(walked, lambda m: (m["at"] >= before) & (m["at"] < before + size))
 
-    def around(margin: int) -> Column:
-        low = F.greatest(F.lit(0), F.col("pos") - margin)
-        return F.substring("text", low + 1, F.col("pos") + F.length("n_number") + margin - low)
 
-    snippet = F.trim(F.regexp_replace(around(D.SNIPPET_MARGIN), r"\s+", " "))
-    kept = rows.withColumn("snippet", snippet).filter(keyword_hit(F.col("snippet")) | keyword_hit(around(D.KEYWORD_MARGIN)))
-    return kept.select("doc_id", "n_number", "pos", "snippet")
+def extract_hits(texts: DataFrame, allow: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_number, pos, snippet for each registration number with a filing keyword nearby.
+
+    ``texts`` has doc_id and plain text. A text is cut into blocks; a block in which a number may start goes on with the
+    ends of its neighbours, as wide as the margins, as a row of its own. Offsets, snippets and keyword tests are made
+    inside such a row, so the work grows in proportion to the text and to its matches, and no text is
+    copied. Whether a word starts is decided by the ``BEFORE`` characters before it.
+    """
+    margin = D.KEYWORD_MARGIN
+    if not AFTER + margin <= BLOCK:
+        raise ValueError("a block must be wider than the margins")
+    found = texts.filter(F.col("text").rlike(D.N_NUMBER_PATTERN))
+    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def window(block: Column, k: Column) -> Column:
+        head = F.coalesce(F.get("blocks", k - 1), F.lit(""))
+        before = F.substring(head, F.greatest(F.length(head) - margin, F.lit(0)) + 1, F.lit(margin))
+        after = F.substring(F.coalesce(F.get("blocks", k + 1), F.lit("")), 1, AFTER + margin)
+        near = F.concat(F.substring(before, F.greatest(F.length(before) - BEFORE, F.lit(0)) + 1, F.lit(BEFORE)), block, F.substring(after, 1, AFTER))
+        row = F.struct((k * BLOCK).alias("base"), F.length(before).alias("before"), F.length(block).alias("size"), F.concat(before, block, after).alias("text"))
+        return F.when(near.rlike(D.N_NUMBER_PATTERN), row)
+
+    windows = F.filter(F.transform("blocks", window), lambda w: w.isNotNull())
+    rows = found.withColumn("blocks", blocks).select("doc_id", F.explode(windows).alias("w"))
+
+    def cut(m: Column) -> Column:
+        def around(wide: int) -> Column:
+            low = F.greatest(m["at"] - wide, F.lit(0))
+            return F.substring(F.col("w.text"), low + 1, m["at"] + F.length(m["n"]) + wide - low)
+
+        snippet = F.trim(F.regexp_replace(around(D.SNIPPET_MARGIN), r"\s+", " "))
+        kept = keyword_hit(snippet) | keyword_hit(around(margin))
+        pos = F.col("w.base") - F.col("w.before") + m["at"]
+        return F.when(kept, F.struct(m["n"].alias("n_number"), pos.alias("pos"), snippet.alias("snippet")))
+
+    matched = rows.select("doc_id", "w", _matches(F.col("w.text"), F.col("w.before"), F.col("w.size")).alias("ms")).filter(F.size("ms") > 0)
+    hits = matched.select("doc_id", F.explode(F.filter(F.transform("ms", cut), lambda h: h.isNotNull())).alias("h")).select("doc_id", "h.*")
+    if allow is not None:
+        hits = hits.join(allow.select("n_number").distinct(), "n_number", "left_semi")
+    return hits.select("doc_id", "n_number", "pos", "snippet")
 
 
 def skip_document_filename(name: Column) -> Column:

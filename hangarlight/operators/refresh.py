@@ -1,13 +1,14 @@
-"""The daily run: inputs, cascade, gates, feed and snapshot, in this order."""
+"""The daily run: gates of the inputs, cascade, gates of the result, feed and snapshot, in this order."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from . import evaluate, gates, listings, resolve
-from .feed import Feed
+from .feed import Feed, check_dates
 
 
 @dataclass
@@ -33,31 +34,37 @@ def refresh(
 ) -> dict:
     """Decide every aircraft, run all gates, publish a version and its snapshot; returns the gold report.
 
-    The decisions are a table under the feed's root, because gates and all outputs read them. A gate that refuses
-    raises ``GateError`` before anything is published, and leaves feed and snapshots as they were.
+    The run holds the feed from its first step on. Dates and the gates of the inputs come first, before the cascade. The
+    decisions are a table in a folder of this run, because gates and all outputs read them. A gate that refuses raises
+    ``GateError`` before anything is published, and leaves feed and snapshots as they were.
     """
     spark = feed.spark
-    companies = listings.apply_aliases(listings.fill_addresses(inputs.companies, inputs.addresses), inputs.aliases)
-    evidence = resolve.Evidence(companies, inputs.subsidiaries, inputs.edgar_hits, inputs.licences, inputs.overrides, inputs.unpublished)
-    decided = resolve.decide(inputs.aircraft, evidence, source)
-    path = f"{feed.root}/decided/as_of={as_of}"
-    decided.write.mode("overwrite").parquet(path)
-    decided = spark.read.schema(decided.schema).parquet(path)
-    published = gates.annotate_aviation_issuer(resolve.published(decided, as_of), inputs.aviation_tickers, inputs.aviation_needles)
-    unresolved = resolve.unresolved(decided, as_of)
-    report = evaluate.evaluate_gold(inputs.gold, published, inputs.aircraft, unresolved.filter("reason = 'trustee'")).first().asDict()
-    feed.apply(
-        as_of,
-        recorded_at,
-        deleted_at,
-        published,
-        resolve.review_queue(decided, as_of),
-        unresolved,
-        aircraft=inputs.aircraft.count(),
-        subsidiaries=inputs.subsidiaries.count(),
-        gold=report,
-        offline=offline,
-        skip_subsidiaries=skip_subsidiaries,
-    )
-    feed.snapshot(as_of, resolve.conflicts(decided))
+    check_dates(spark, as_of, recorded_at)
+    with feed.locked():
+        aircraft, subsidiaries = inputs.aircraft.count(), inputs.subsidiaries.count()
+        gates.check_master_floor(aircraft, offline)
+        gates.check_subsidiaries(subsidiaries, skip_subsidiaries)
+        companies = listings.apply_aliases(listings.fill_addresses(inputs.companies, inputs.addresses), inputs.aliases)
+        evidence = resolve.Evidence(companies, inputs.subsidiaries, inputs.edgar_hits, inputs.licences, inputs.overrides, inputs.unpublished)
+        decided = resolve.decide(inputs.aircraft, evidence, source)
+        path = f"{feed.root}/decided/as_of={as_of}/run-{uuid.uuid4().hex}"
+        decided.write.parquet(path)
+        decided = spark.read.schema(decided.schema).parquet(path)
+        published = gates.annotate_aviation_issuer(resolve.published(decided, as_of), inputs.aviation_tickers, inputs.aviation_needles)
+        unresolved = resolve.unresolved(decided, as_of)
+        report = evaluate.evaluate_gold(inputs.gold, published, inputs.aircraft, unresolved.filter("reason = 'trustee'")).first().asDict()
+        feed.apply(
+            as_of,
+            recorded_at,
+            deleted_at,
+            published,
+            resolve.review_queue(decided, as_of),
+            unresolved,
+            aircraft=aircraft,
+            subsidiaries=subsidiaries,
+            gold=report,
+            conflicts=resolve.conflicts(decided),
+            offline=offline,
+            skip_subsidiaries=skip_subsidiaries,
+        )
     return report

@@ -185,6 +185,13 @@ cur AS (SELECT n_number, CASE WHEN change IN ('quiet', 'dropped') THEN ot ELSE n
   CASE WHEN change IN ('quiet', 'dropped') THEN ofl ELSE nfl END AS fleet_size, CASE WHEN change IN ('quiet', 'dropped') THEN oas ELSE nas END AS as_of_date, CASE WHEN change = 'dropped' THEN 1800000000 END::BIGINT AS deleted_at FROM ch
   UNION ALL SELECT n_number, ticker, registrant_name, fleet_size, as_of_date, deleted_at FROM o WHERE deleted_at IS NOT NULL AND n_number NOT IN (SELECT n_number FROM ch))"""
 
+# The feed after two publications of its own: no row of the first day is deleted before the second.
+TWO_DAYS = """day2 AS (SELECT coalesce(a.n_number, b.n_number) AS n_number, a.ticker AS ot,
+  CASE WHEN b.n_number IS NULL THEN 'dropped' WHEN a.n_number IS NULL THEN 'new' WHEN a.ticker = b.ticker AND a.registrant_name = b.registrant_name THEN 'quiet' WHEN a.ticker <> b.ticker THEN 'owner_changed' ELSE 'updated' END AS change,
+  CASE WHEN change IN ('quiet', 'dropped') THEN a.ticker ELSE b.ticker END AS ticker, CASE WHEN change IN ('quiet', 'dropped') THEN a.registrant_name ELSE b.registrant_name END AS registrant_name,
+  CASE WHEN change IN ('quiet', 'dropped') THEN a.fleet_size ELSE b.fleet_size END AS fleet_size, CASE WHEN change IN ('quiet', 'dropped') THEN a.as_of_date ELSE b.as_of_date END AS as_of_date,
+  CASE WHEN change = 'dropped' THEN 1800000000 END::BIGINT AS deleted_at FROM o a FULL JOIN n b ON a.n_number = b.n_number)"""
+
 GOLD = f"""{DECIDED},
 gold_names AS (SELECT upper(ticker) AS ticker, unnest(list_concat([registrant], CASE WHEN company_name <> '' THEN [company_name] ELSE [] END)) AS name, ord, generate_subscripts(list_concat([registrant], CASE WHEN company_name <> '' THEN [company_name] ELSE [] END), 1) AS k FROM gold_flat),
 expected AS (SELECT {norm('name')} AS nk, arg_max(ticker, ord * 10 + k) AS expected FROM gold_names GROUP BY 1),
@@ -193,9 +200,24 @@ gh AS (SELECT a.n_number, expected, p.ticker AS got, nk, cr, class FROM air a JO
 
 
 
+# Whole documents with four mentions: every match with its place, snippet and wider surroundings.
+SPLICED = """b AS (SELECT doc_id, coalesce(doc_id, 0) AS d, coalesce(text, '') AS body, length(coalesce(text, '')) AS n FROM documents),
+            t AS (SELECT doc_id, ' The corporate aircraft N' || (100 + d % 900) || ' ' || substr(body, 1, n // 4) || ' dry lease of N' || (3000 + d % 6000) || ' ' || substr(body, n // 4 + 1, n // 2 - n // 4)
+              || ' bond series N' || (10000 + d % 80000) || ' ' || substr(body, n // 2 + 1, n - n // 2) || ' n-number N' || (2000 + d % 7) || ' ' AS text FROM b),
+            r AS (SELECT row_number() OVER () AS k, *, regexp_extract_all(text, '\\bN[1-9][0-9A-Z]{2,4}\\b') AS ns, string_split_regex(text, '\\bN[1-9][0-9A-Z]{2,4}\\b') AS gaps FROM t),
+            m AS (SELECT k, doc_id, text, unnest(range(1, len(ns) + 1)) AS i, unnest(ns) AS n_number, unnest(list_transform(gaps[1:len(ns)], lambda x: length(x))) AS gap FROM r),
+            p AS (SELECT doc_id, text, n_number, sum(gap + length(n_number)) OVER (PARTITION BY k ORDER BY i) - length(n_number) AS pos FROM m),
+            s AS (SELECT doc_id, n_number, pos, trim(regexp_replace(substr(text, greatest(0, pos - 180)::BIGINT + 1, (pos + length(n_number) + 180 - greatest(0, pos - 180))::BIGINT), '[\\t-\\r ]+', ' ', 'g')) AS snippet,
+              lower(substr(text, greatest(0, pos - 800)::BIGINT + 1, (pos + length(n_number) + 800 - greatest(0, pos - 800))::BIGINT)) AS wide FROM p)"""
+
+
 def oracles() -> dict[str, str]:
     arr = lambda c: f"coalesce(array_to_string({c}, '|'), '')"
     hit = "hit.ticker AS ticker, hit.cik AS cik"
+    near = _any("lower(snippet)", D.FILING_KEYWORDS) + " OR " + _any("wide", D.FILING_KEYWORDS)
+    decoded = "replace(t, '&#39;', '''')"
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("nbsp", "\u00a0"), ("middot", "\u00b7"), ("copy", "\u00a9"), ("amp", "&")):
+        decoded = f"regexp_replace({decoded}, '&{name};?', '{char}', 'g')"
     return {
         "normalize_names": f"WITH {cte('aircraft')} SELECT n_number, {norm('registrant_name')} AS norm, {core(norm('registrant_name'))} AS core FROM aircraft",
         "normalize_addresses": f"WITH {cte('aircraft')} SELECT n_number, {address('street', 'city', 'state')} AS address FROM aircraft",
@@ -224,6 +246,13 @@ def oracles() -> dict[str, str]:
         "scd_change_counts": f"WITH {FEED} SELECT change, count(*) AS n FROM ch GROUP BY change",
         "changelog_for_day": f"WITH {FEED} SELECT as_of_date, n_number, change, detail FROM clog WHERE as_of_date = '2026-09-01'",
         "lookup": f"WITH {FEED} SELECT n_number, ticker, registrant_name FROM cur WHERE deleted_at IS NULL AND n_number = 'N11'",
+        "feed_after_two_days": f"WITH {FEED}, {TWO_DAYS} SELECT n_number, ticker, registrant_name, fleet_size, as_of_date, deleted_at FROM day2",
+        "feed_change_records": f"""WITH {FEED}, {TWO_DAYS} SELECT 1::BIGINT AS version, 'mappings_current' AS source, 'I' AS op, n_number AS key, '2026-08-31' AS as_of_date, NULL::VARCHAR AS ticker_before,
+              ticker, registrant_name, NULL::VARCHAR AS deleted_at, NULL::VARCHAR AS change, NULL::VARCHAR AS recorded_at FROM o
+            UNION ALL SELECT 1, 'changelog', 'I', n_number, '2026-08-31', NULL, NULL, NULL, NULL, 'new', NULL FROM o
+            UNION ALL SELECT 2, 'mappings_current', CASE change WHEN 'new' THEN 'I' ELSE 'U' END, n_number, '2026-09-01', ot, ticker, registrant_name, deleted_at::VARCHAR, NULL, NULL FROM day2 WHERE change <> 'quiet'
+            UNION ALL SELECT 2, 'changelog', 'I', n_number, '2026-09-01', NULL, NULL, NULL, NULL, change, NULL FROM day2 WHERE change <> 'quiet'
+            UNION ALL SELECT version, 'refresh_run', 'I', day, day, NULL, NULL, NULL, NULL, NULL, day || 'T06:00:00Z' FROM (VALUES (1, '2026-08-31'), (2, '2026-09-01')) AS r(version, day)""",
         "eval_gold": f"""WITH {GOLD}, g AS (SELECT count(*) AS faa_gold_name_hits, count(*) FILTER (WHERE got = expected) AS name_true_positives, count(*) FILTER (WHERE got <> expected) AS name_false_positives FROM gh),
             t AS (SELECT count(*) FILTER (WHERE a.n_number IS NOT NULL AND p.ticker IS NOT DISTINCT FROM upper(t.ticker)) AS tail_true_positives, count(*) FILTER (WHERE a.n_number IS NOT NULL AND p.ticker IS DISTINCT FROM upper(t.ticker)) AS tail_false_negatives,
               count(*) FILTER (WHERE a.n_number IS NULL) AS tail_skipped_missing_master FROM gold_tails t LEFT JOIN aircraft a USING (n_number) LEFT JOIN pub p USING (n_number)),
@@ -267,24 +296,10 @@ def oracles() -> dict[str, str]:
               CASE WHEN stratum <> 'not_our_join' AND (ticker <> '') = (must_not_ticker <> '') THEN 'needs exactly one ticker' END], lambda x: x IS NOT NULL)) AS problem FROM rubric)
             SELECT * FROM own UNION ALL SELECT n_number, 'duplicate' FROM rubric GROUP BY 1 HAVING count(*) > 1
             UNION ALL SELECT CASE WHEN ticker <> '' THEN ticker ELSE must_not_ticker END, 'more than 2 tails' FROM rubric WHERE ticker <> '' OR must_not_ticker <> '' GROUP BY 1 HAVING count(*) > 2""",
-        "edgar_extract": """WITH RECURSIVE t AS (SELECT doc_id, 'The corporate aircraft N' || (100 + doc_id % 900) || ' flew; bond series N' || (1000 + doc_id) || ' ' || repeat('x ', 500) || 'n-number N' || (2000 + doc_id % 7) || ' ' || lang AS text FROM documents),
-            m AS (SELECT doc_id, text, unnest(regexp_extract_all(text, '\\bN[1-9][0-9A-Z]{2,4}\\b')) AS n_number FROM t),
-            p AS (SELECT *, strpos(text, n_number) - 1 AS pos FROM m),
-            s AS (SELECT doc_id, n_number, pos, trim(regexp_replace(substr(text, greatest(0, pos - 180) + 1, pos + length(n_number) + 180 - greatest(0, pos - 180)), '\\s+', ' ', 'g')) AS snippet,
-              lower(substr(text, greatest(0, pos - 800) + 1, pos + length(n_number) + 800 - greatest(0, pos - 800))) AS wide FROM p)
-            SELECT doc_id, n_number, pos::INTEGER AS pos, snippet FROM s WHERE """
-        + _any("lower(snippet)", D.FILING_KEYWORDS) + " OR " + _any("wide", D.FILING_KEYWORDS),
-        "edgar_extract_documents": """WITH b AS (SELECT doc_id, coalesce(doc_id, 0) AS d, coalesce(text, '') AS body, length(coalesce(text, '')) AS n FROM documents),
-            t AS (SELECT doc_id, ' The corporate aircraft N' || (100 + d % 900) || ' ' || substr(body, 1, n // 4) || ' dry lease of N' || (3000 + d % 6000) || ' ' || substr(body, n // 4 + 1, n // 2 - n // 4)
-              || ' bond series N' || (10000 + d % 80000) || ' ' || substr(body, n // 2 + 1, n - n // 2) || ' n-number N' || (2000 + d % 7) || ' ' AS text FROM b),
-            r AS (SELECT row_number() OVER () AS k, *, regexp_extract_all(text, '\\bN[1-9][0-9A-Z]{2,4}\\b') AS ns, string_split_regex(text, '\\bN[1-9][0-9A-Z]{2,4}\\b') AS gaps FROM t),
-            m AS (SELECT k, doc_id, text, unnest(range(1, len(ns) + 1)) AS i, unnest(ns) AS n_number, unnest(list_transform(gaps[1:len(ns)], lambda x: length(x))) AS gap FROM r),
-            p AS (SELECT doc_id, text, n_number, sum(gap + length(n_number)) OVER (PARTITION BY k ORDER BY i) - length(n_number) AS pos FROM m),
-            s AS (SELECT doc_id, n_number, pos, trim(regexp_replace(substr(text, greatest(0, pos - 180)::BIGINT + 1, (pos + length(n_number) + 180 - greatest(0, pos - 180))::BIGINT), '[\\t-\\r ]+', ' ', 'g')) AS snippet,
-              lower(substr(text, greatest(0, pos - 800)::BIGINT + 1, (pos + length(n_number) + 800 - greatest(0, pos - 800))::BIGINT)) AS wide FROM p)
-            SELECT doc_id, n_number, pos::INTEGER AS pos, snippet FROM s WHERE """
-        + _any("lower(snippet)", D.FILING_KEYWORDS) + " OR " + _any("wide", D.FILING_KEYWORDS),
-        "html_plain_text": """SELECT page_id, length(regexp_replace(html, '<[^>]+>', ' ', 'g')) AS n_chars, md5(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&middot;', chr(183)), '&copy;', chr(169)), '&amp;', '&')) AS text_md5 FROM pages""",
+        "edgar_extract": f"WITH {cte('aircraft')}, {SPLICED} SELECT doc_id, n_number, pos::INTEGER AS pos, snippet FROM s WHERE n_number IN (SELECT n_number FROM aircraft) AND ({near})",
+        "edgar_extract_documents": f"WITH {SPLICED} SELECT doc_id, n_number, pos::INTEGER AS pos, snippet FROM s WHERE {near}",
+        # The references that the pages hold; those of old names count without a semicolon too. Ampersands come last, so each is decoded once.
+        "html_plain_text": f"SELECT page_id, length(t) AS n_chars, md5({decoded}) AS text_md5 FROM (SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS t FROM pages)",
         "keyword_documents": f"SELECT doc_id, {_any('lower(text)', D.FILING_KEYWORDS)} AS keyword FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)",
         "valid_dates": """SELECT o_orderkey, true AS day_ok, false AS slash_ok, true AS instant_ok FROM orders""",
     }

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
-from ..operators import analytics, evaluate, feed, gates, harvest, indexes, listings, resolve
+from ..operators import analytics, changefeed, evaluate, feed, gates, harvest, indexes, listings, resolve
 from ..sources.schemas import MAPPING_COLUMNS
 from . import universe as U
 
@@ -31,15 +31,20 @@ def joined(column: str) -> Column:
     return F.coalesce(F.array_join(column, "|"), F.lit("")).alias(column)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder: computed once, short in plans, and safe from lost executors."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which all executors share; a temporary one only where none is set and Spark is local."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    path = f"{sc.getCheckpointDir()}/world_{uuid.uuid4().hex}"
+    return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder: computed once, short in plans, and safe from lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/world_{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -261,7 +266,7 @@ def scd_changelog(spark, sf_dir):
 @query
 def scd_current(spark, sf_dir):
     old, new = _feeds(spark, sf_dir)
-    now = feed.next_current(old, feed.diff(old, new), 1_800_000_000)
+    now = feed.next_current(feed.match(old, new), 1_800_000_000)
     return now.select("n_number", "ticker", "registrant_name", "fleet_size", "as_of_date", "deleted_at")
 
 
@@ -278,10 +283,36 @@ def changelog_for_day(spark, sf_dir):
 @query
 def lookup(spark, sf_dir):
     old, new = _feeds(spark, sf_dir)
-    now = feed.next_current(old, feed.diff(old, new), 1_800_000_000)
+    now = feed.next_current(feed.match(old, new), 1_800_000_000)
     return feed.lookup(now, " n-11.").select("n_number", "ticker", "registrant_name")
 
 
+def _two_days(spark, sf_dir) -> feed.Feed:
+    """A feed of its own in the shared folder, to which the older and the newer rows were published one after the other."""
+    old, new = _feeds(spark, sf_dir)
+    kept = feed.Feed(spark, f"{shared_folder(spark)}/feed_{uuid.uuid4().hex}")
+    rest = [spark.createDataFrame([], kept.TABLES[t]) for t in ("review_queue", "unresolved_trusts")]
+    kept.publish("2026-08-31", "2026-08-31T06:00:00Z", 1_700_000_000, old.drop("deleted_at"), *rest)
+    kept.publish(AS_OF, f"{AS_OF}T06:00:00Z", 1_800_000_000, new, *rest)
+    return kept
+
+
+@query
+def feed_after_two_days(spark, sf_dir):
+    """The current table of a feed after two publications, read from its buckets."""
+    now = _two_days(spark, sf_dir).table("mappings_current")
+    return now.select("n_number", "ticker", "registrant_name", "fleet_size", "as_of_date", "deleted_at")
+
+
+@query
+def feed_change_records(spark, sf_dir):
+    """The change feed of the same two publications."""
+    records = changefeed.changes(spark, _two_days(spark, sf_dir).root)
+    image = {c: F.get_json_object("after", f"$.{c}").alias(c) for c in ("ticker", "registrant_name", "deleted_at", "change", "recorded_at")}
+    was = F.get_json_object("before", "$.ticker").alias("ticker_before")
+    return records.select("version", F.col("table").alias("source"), "op", "key", "as_of_date", was, *image.values())
+
+
 @query
 def eval_gold(spark, sf_dir):
     w = world(spark, sf_dir)
@@ -380,19 +411,7 @@ def validate_rubric(spark, sf_dir):
     return gates.rubric_violations(world(spark, sf_dir).t["rubric"])
 
 
-@query
-def edgar_extract(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    text = F.concat(
-        F.lit("The corporate aircraft N"), (100 + F.col("doc_id") % 900).cast("string"), F.lit(" flew; bond series N"),
-        (1000 + F.col("doc_id")).cast("string"), F.lit(" "), F.repeat(F.lit("x "), 500), F.lit("n-number N"),
-        (2000 + F.col("doc_id") % 7).cast("string"), F.lit(" "), F.col("lang"),
-    )
-    return harvest.extract_hits(docs.select("doc_id", text.alias("text")))
-
-
-@query
-def edgar_extract_documents(spark, sf_dir):
+def _spliced(spark, sf_dir) -> DataFrame:
     """The whole text of every document, null as empty, with mentions at its front, quarter, middle and end."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     body, doc = F.coalesce("text", F.lit("")), F.coalesce("doc_id", F.lit(0))
@@ -409,7 +428,19 @@ def edgar_extract_documents(spark, sf_dir):
         mention("The corporate aircraft", 100, 900), piece(F.lit(0), quarter), mention("dry lease of", 3000, 6000), piece(quarter, middle),
         mention("bond series", 10000, 80000), piece(middle, n), mention("n-number", 2000, 7),
     )
-    return harvest.extract_hits(docs.select("doc_id", text.alias("text")))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query
+def edgar_extract(spark, sf_dir):
+    """Registration numbers of the registry's aircraft in whole documents."""
+    return harvest.extract_hits(_spliced(spark, sf_dir), world(spark, sf_dir).aircraft)
+
+
+@query
+def edgar_extract_documents(spark, sf_dir):
+    """All registration numbers in whole documents."""
+    return harvest.extract_hits(_spliced(spark, sf_dir))
 
 
 @query

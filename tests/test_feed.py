@@ -15,7 +15,7 @@ GOOD = {"aircraft": 300_000, "subsidiaries": 1, "gold": {"tail_false_positives":
 
 
 def test_refused_feeds_leave_the_old_one(spark, tmp_path):
-    feed = Feed(spark, str(tmp_path / "feed"))
+    feed = Feed(spark, str(tmp_path / "feed"), buckets=4)
     types = {f.name: f.dataType.simpleString() for f in spark.createDataFrame([], CURRENT).schema}
     schema = ", ".join(f"{c} {types[c]}" for c in MAPPING_COLUMNS)
     blank = {"string": "x", "bigint": 1, "boolean": False}
@@ -48,7 +48,7 @@ def test_refresh_publishes_or_leaves_everything(spark, tmp_path, monkeypatch):
     inputs = Inputs(
         t["aircraft"], U.listed(t), U.addresses(t), t["aliases"], t["subsidiaries"], t["edgar_hits"], t["licences"], t["overrides"], t["unpublished"], gold, ["TAAA"], ["RING"]
     )
-    feed = Feed(spark, str(tmp_path / "feed"))
+    feed = Feed(spark, str(tmp_path / "feed"), buckets=4)
 
     def run(day, inputs=inputs, **other):
         return refresh(feed, inputs, "registry", day, f"{day}T00:00:00Z", 5, **({"offline": True} | other))
@@ -76,7 +76,7 @@ def test_refresh_publishes_or_leaves_everything(spark, tmp_path, monkeypatch):
             run("2026-09-02")
         monkeypatch.setattr(DataFrameWriter, "parquet", plain)
         assert feed.version() == version and feed.table("mappings_current").count() == rows
-    with feed._locked(), pytest.raises(FeedBusy):
+    with Feed(spark, feed.root).locked(), pytest.raises(FeedBusy):
         run("2026-09-02")
     run("2026-09-02")
     assert feed.version() != version

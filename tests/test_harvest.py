@@ -1,10 +1,15 @@
 """Registration numbers in whole texts, against brute force."""
 
+import html
+import random
 import re
+import time
+from html.entities import html5
 
 from pyspark.sql import functions as F
 
 from hangarlight.functions import dicts as D
+from hangarlight.functions.entities import unescape
 from hangarlight.operators import harvest
 from hangarlight.plans.queries import QUERIES
 
@@ -36,7 +41,44 @@ def test_texts_become_plain(spark):
     raw = spark.createDataFrame(rows, "raw binary").select(harvest.decode(F.col("raw")).alias("t"))
     assert [r[0] for r in raw.select(harvest.to_plain_text(F.col("t"))).collect()] == [" A&B <x> ", "café !", "kept \ufffd", "", None]
     more = spark.createDataFrame([("&eacute;&#8217;&amp;",), (None,)], "t string")
-    assert [r[0] for r in more.select(harvest.unescape_all(F.col("t"))).collect()] == ["é’&", None]
+    assert [r[0] for r in more.select(harvest.to_plain_text(F.col("t"))).collect()] == ["é’&", None]
+
+
+def test_references_are_decoded_once_as_the_standard_says(spark):
+    chosen = random.Random(4)
+    names = sorted(html5)
+    numbers = [0, 1, 8, 9, 0xB, 0xD, 0x1F, 0x26, 0x7F, 0x80, 0x81, 0x9F, 0xA0, 0xD7FF, 0xD800, 0xDFFF, 0xFDCF, 0xFDD0, 0xFDEF, 0xFFFE, 0x1F600, 0x1FFFF, 0x10FFFD, 0x10FFFF, 0x110000, 1 << 31, 1 << 64, 10**30]
+    atoms = ["&", "&&", ";", " ", "x", "<", "#", "&#", "&#x", "&amp;lt;", "&amp;amp;", "&ampamp;", "&notit;", "&notin;", "&lt", "&NoSuch;", "&copyx", "&é;", "\n", "&" + "a" * 40 + ";"]
+    atoms += [f"&#{n};" for n in numbers] + [f"&#{n}" for n in numbers] + [f"&#x{n:x};" for n in numbers] + [f"&#X{n:X}" for n in numbers]
+    texts = ["&" + n for n in names] + [f"a&{n}b" for n in names] + ["".join(chosen.choices(atoms, k=chosen.randint(0, 9))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", unescape(F.col("t")).alias("got")).collect()
+    assert [(r.t, r.got) for r in rows] == [(t, html.unescape(t)) for t in texts]
+
+
+def test_matches_at_the_edges_of_blocks(spark):
+    """A number at every place around the first two borders of blocks, with and without a keyword at the end of a margin."""
+    rows = []
+    for at in (*range(harvest.BLOCK - 10, harvest.BLOCK + 3), *range(2 * harvest.BLOCK - 8, 2 * harvest.BLOCK + 2)):
+        for word in ("N12", "N123", "N12345", "xN123", "N123456", "N123_", "N123 N99999"):
+            for gap in (D.KEYWORD_MARGIN - len("aviation") - 1, D.KEYWORD_MARGIN):
+                rows.append((len(rows), "é" * (at - 1) + " " + word + " " * gap + "aviation and the rest"))
+                rows.append((len(rows), " " * max(0, at - gap - 9) + "aviation" + " " * gap + word + "."))
+    assert hits(harvest.extract_hits(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+def test_extraction_is_linear(spark):
+    """Twice the matches in one text take at most 2.2 times the time."""
+
+    def seconds(matches):
+        text = "".join(f"N{1000 + k % 9000} falcon and other words " for k in range(matches))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string").cache()
+        assert df.count() == 1
+        start = time.perf_counter()
+        assert harvest.extract_hits(df).count() == matches
+        return time.perf_counter() - start
+
+    seconds(4000)
+    assert min(seconds(64000) for _ in range(3)) <= 2.2 * min(seconds(32000) for _ in range(3))
 
 
 def test_documents_of_a_filing(spark):
