@@ -5,7 +5,7 @@ blank that follows a character which is neither white space nor U+2581; a piece
 
 * Byte-level BPE files (.json) without normaliser, whose pre-tokenizer is the usual expression: none of its
   alternatives holds a blank after another character, so words never span a cut. A piece is divided into words by that
-  expression and each word is tokenized by the library's model.
+  expression, and each word, once while it is in a cache of its own, is tokenized by the library's model.
 * BPE files with pieces (.model) without normalisation: no vocabulary entry has U+2581 after another character
   (checked when the file is loaded), so merges never span a cut. The library encodes each piece.
 
@@ -22,7 +22,7 @@ from collections.abc import Callable
 import numpy as np
 
 BLANK = "▁"
-#: Entries of a cache, and the longest piece it keeps: at most about 100 MB. A full cache starts anew.
+#: Entries of a cache of pieces, and the longest text it keeps: at most about 100 MB. The cache of words has half as many.
 MOST, LONGEST = 1 << 19, 64
 # Fixed value: the public expression of byte-level pre-tokenizers.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -38,18 +38,22 @@ def pieces(text: str) -> list[str]:
 
 
 class _Cache(dict):
-    """piece -> packed ids of a blank and the piece."""
+    """text -> packed ids, in two generations of at most ``most`` entries together: what an older half has and is asked
+    again moves to the younger one."""
 
     def __init__(self, encode: Callable[[str], bytes], most: int):
         super().__init__()
-        self.encode, self.most = encode, most
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= self.most:
+        self.encode, self.half, self.older = encode, max(1, most // 2), {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.encode(text)
+        if len(text) <= LONGEST:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
-            self[piece] = ids
+            self[text] = ids
         return ids
 
 
@@ -64,14 +68,15 @@ class Encoder:
     """Ids of a text by the tokenizer file at ``path``, without special tokens of its own, as packed little-endian numbers."""
 
     def __init__(self, path: str, specials_as_text: bool = False, most: int = MOST):
+        self.most, self.dtype, self._code = most, np.dtype("<u2"), "H"
         if path.endswith(".json"):
             self._open_json(path, specials_as_text)
         elif path.endswith(".model"):
             self._open_model(path)
         else:
             raise ValueError(f"no library for {path}")
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self._code = "H" if self.size <= 1 << 16 else "I"
+        if self.size > 1 << 16:
+            self.dtype, self._code = np.dtype("<u4"), "I"
         self._cache = _Cache(self._after_blank, most)
 
     def pack(self, ids) -> bytes:
@@ -94,19 +99,29 @@ class Encoder:
         )
         self.size = library.get_vocab_size()
         specials = [] if specials_as_text else [t["content"] for t in spec["added_tokens"]]
-        characters, words, tokenize = byte_characters(), regex.compile(WORDS), library.model.tokenize
+        special = re.compile("|".join(map(re.escape, specials)) or "(?!)").search
+        characters, find, tokenize, pack = byte_characters(), regex.compile(WORDS).findall, library.model.tokenize, self.pack
+        space = characters[0x20]
+
+        def word(text: str) -> bytes:
+            # Of printable ASCII characters the blank alone is written as another one.
+            plain = text.isascii() and text.isprintable()
+            written = text.replace(" ", space) if plain else text.encode().decode("latin-1").translate(characters)
+            return pack([t.id for t in tokenize(written)])
+
+        known = _Cache(word, self.most // 2)
 
         def whole(text: str) -> list[int]:
             return library.encode(text, add_special_tokens=False).ids
 
-        def piece(text: str) -> list[int]:
-            if any(s in text for s in specials):
-                return whole(text)
-            found = _ASCII_WORDS.findall(text) if text.isascii() else words.findall(text)
-            return [t.id for w in found for t in tokenize(w.encode().decode("latin-1").translate(characters))]
+        def piece(text: str) -> bytes:
+            if special(text):
+                return pack(whole(text))
+            found = _ASCII_WORDS.findall(text) if text.isascii() else find(text)
+            return b"".join(map(known.__getitem__, found))
 
         self._whole, self._head = whole, piece
-        self._after_blank = lambda text: self.pack(piece(" " + text))
+        self._after_blank = lambda text: piece(" " + text)
         self.token_bytes = lambda: _byte_level(library.get_vocab())
 
     def _open_model(self, path: str) -> None:
@@ -125,7 +140,7 @@ class Encoder:
         self.size = library.get_piece_size()
         blank = library.piece_to_id(BLANK)
         # The library itself puts a blank before a text, so the first piece is like all others.
-        self._whole = self._head = library.encode
+        self._whole, self._head = library.encode, lambda text: self.pack(library.encode(text))
         self._after_blank = lambda text: self.pack(library.encode(text) if text else [blank])
         self.token_bytes = lambda: [_piece_bytes(p) for p in vocabulary]
 
@@ -136,7 +151,7 @@ class Encoder:
         found = pieces(text)
         if after_blank:
             return b"".join(map(self._cache.__getitem__, found))
-        return self.pack(self._head(found[0])) + b"".join(map(self._cache.__getitem__, found[1:]))
+        return self._head(found[0]) + b"".join(map(self._cache.__getitem__, found[1:]))
 
     def encode_spaced(self, text: str) -> bytes:
         """Packed ids of the text where the library puts a blank before it itself; none for an empty text."""
@@ -162,9 +177,9 @@ def _piece_bytes(piece: str) -> bytes:
 _loaded: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, specials_as_text: bool = False) -> Encoder:
+def encoder(path: str, specials_as_text: bool = False, most: int = MOST) -> Encoder:
     """The process's encoder of a file."""
-    key = (path, specials_as_text)
+    key = (path, specials_as_text, most)
     if key not in _loaded:
-        _loaded[key] = Encoder(path, specials_as_text)
+        _loaded[key] = Encoder(*key)
     return _loaded[key]

@@ -38,6 +38,8 @@ RECORD_MAGIC, INDEX_MAGIC = b"TOKREC1\n", b"TOKIDX1\n"
 FILE_BYTES = 128 << 20
 #: Bytes of data that one task reads back, and bytes of ids in one batch.
 SLICE_BYTES, BATCH_BYTES = 32 << 20, 2 << 20
+#: Pieces whose ids a process keeps; about 200 MB, beside 100 MB of words.
+CACHE = 1 << 20
 MANIFEST = "file string, part int, number int, width int, records long, tokens long, bytes long"
 TOKENS = "doc_id long, start long, n_tokens long, ids binary"
 
@@ -118,7 +120,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, f
     def run(batches):
         from pyspark import TaskContext
 
-        model, part = encoder(tokenizer_path), TaskContext.get().partitionId()
+        model, part = encoder(tokenizer_path, most=CACHE), TaskContext.get().partitionId()
         store, folder = filesystem(path)
         if end_id > 0xFFFF and model.dtype.itemsize == 2:
             raise ValueError("the end id is wider than the tokenizer's ids")
