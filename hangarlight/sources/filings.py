@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import canonical_n_number, pad_cik
+from .lines import line_order
 from .registry import read_sqlite_table
 from .schemas import ADDRESS, EDGAR_HIT, SUBSIDIARY_COLUMNS
 
@@ -120,8 +121,8 @@ def read_subsidiaries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_edgar_hits(spark: SparkSession, path: str) -> DataFrame:
-    """Filing hits of a JSONL file with their place as ``ord``; malformed lines are errors."""
-    return spark.read.schema(EDGAR_HIT).json(path, mode="FAILFAST").withColumn("ord", F.monotonically_increasing_id())
+    """Filing hits of a JSONL file with their line's place as ``ord``; malformed lines are errors."""
+    return spark.read.schema(EDGAR_HIT).json(path, mode="FAILFAST").withColumn("ord", line_order())
 
 
 def read_licences(spark: SparkSession, path: str) -> DataFrame:

@@ -1,104 +1,146 @@
 """Aircraft registry sources: the published zip of CSV files, the CSV files themselves, or a SQLite copy.
 
-File handling on the driver is limited to what the formats force: opening the archive, and reading the
-header line. Rows are read, canonicalised and joined by Spark.
+The zip is inflated by a task into a shared folder. CSV lines are split by column expressions that know how many fields a
+line has, so empty fields at its end count; the driver sees the header line alone.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import zipfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import canonical_icao24, canonical_n_number
+from .files import filesystem
+from .lines import read_lines
 from .schemas import AIRCRAFT_COLUMNS
 
-# Field positions used where the header does not name a column.
+# Field positions of files without a header.
 POSITIONS = {
     "n_number": 0, "serial": 1, "mfr_mdl_code": 2, "type_registrant": 5, "registrant_name": 6, "street": 7, "city": 9, "state": 10,
     "type_aircraft": 18, "type_engine": 19, "status_code": 20, "icao24": 29, "fractional_owner": 22,
 }
+REFERENCE_POSITIONS = {"code": 0, "make": 1, "model": 2}
 # Header names after upper-casing and removal of everything but letters and digits.
 HEADERS = {
-    "n_number": ("NNUMBER",), "serial": ("SERIALNUMBER",), "mfr_mdl_code": ("MFRMDLCODE",), "type_registrant": ("TYPEREGISTRANT",),
+    "n_number": ("NNUMBER",), "serial": ("SERIALNUMBER", "SERIAL"), "mfr_mdl_code": ("MFRMDLCODE", "CODE"), "type_registrant": ("TYPEREGISTRANT",),
     "registrant_name": ("NAME",), "street": ("STREET",), "city": ("CITY",), "state": ("STATE",), "type_aircraft": ("TYPEAIRCRAFT",),
     "type_engine": ("TYPEENGINE",), "status_code": ("STATUSCODE",), "icao24": ("MODESCODEHEX",), "fractional_owner": ("FRACTOWNER",),
 }
+REFERENCE_HEADERS = {"code": ("MFRMDLCODE", "CODE"), "make": ("MFR",), "model": ("MODEL",)}
+#: Fields of which the first of several columns counts; of the others the last.
+FIRST_COUNTS = ("mfr_mdl_code", "code")
 MIN_FIELDS = 7
+#: A field with its comma: quoted, with doubled quotes inside and whatever follows the last quote, or plain.
+_FIELD = r'("(?:[^"]++|"")*+"[^,]*+|[^,]*+),'
 
 
-def unpack(zip_path: str, folder: str) -> dict[str, str]:
-    """Extract the registry and reference members: {'MASTER': path, 'ACFTREF': path}."""
-    found: dict[str, str] = {}
-    with zipfile.ZipFile(zip_path) as archive:
-        for member in archive.namelist():
-            upper = member.upper()
-            for kind in ("MASTER", "ACFTREF"):
-                if kind in upper and upper.endswith(".TXT") and kind not in found:
-                    found[kind] = archive.extract(member, folder)
+def unpack(spark: SparkSession, zip_path: str, folder: str) -> dict[str, str]:
+    """Inflate the registry and reference members into ``folder``, which all executors share: {'MASTER': path, 'ACFTREF': path}.
+
+    One task streams the members and checks their CRC; its paths alone reach the driver. The first member whose name holds a
+    kind and ends in .txt counts. A task that runs again writes files of other names.
+    """
+
+    def run(batches):
+        import io
+        import shutil
+        import zipfile
+
+        import pyarrow as pa
+
+        store, target = filesystem(folder)
+        store.create_dir(target, recursive=True)
+        for content in (c for batch in batches for c in batch.column(0)):
+            rows = []
+            with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as archive:
+                for member in archive.namelist():
+                    upper = member.upper()
+                    for kind in ("MASTER", "ACFTREF"):
+                        if kind in upper and upper.endswith(".TXT") and kind not in {r["kind"] for r in rows}:
+                            name = f"{kind}-{uuid.uuid4().hex}.txt"
+                            with archive.open(member) as source, store.open_output_stream(f"{target}/{name}") as out:
+                                shutil.copyfileobj(source, out, 1 << 20)
+                            rows.append({"kind": kind, "name": name})
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows)
+
+    made = spark.read.format("binaryFile").load(zip_path).select("content").mapInArrow(run, "kind string, name string").collect()
+    found = {r.kind: f"{folder}/{r.name}" for r in made}
     for kind in ("MASTER", "ACFTREF"):
         if kind not in found:
             raise ValueError(f"{os.path.basename(zip_path)} has no {kind} member")
     return found
 
 
-def resolve_header(names: list[str]) -> dict[str, int]:
-    """Field positions: by header name where one fits, else the fixed position."""
+def split_fields(line: Column) -> Column:
+    """All fields of a CSV line, unquoted and trimmed, empty ones at its end as well."""
+
+    def value(field: Column) -> Column:
+        inner = F.regexp_extract(field, r'^"((?:[^"]++|"")*+)"', 1)
+        rest = F.regexp_extract(field, r'^"(?:[^"]++|"")*+"(.*)$', 1)
+        plain = F.when(field.rlike(r'^"(?:[^"]++|"")*+"'), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), rest)).otherwise(field)
+        return F.regexp_replace(plain, r"^\s+|\s+$", "")
+
+    return F.transform(F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(_FIELD), F.lit(1)), value)
+
+
+def resolve_header(names: list[str], headers: dict[str, tuple[str, ...]] = HEADERS) -> dict[str, int | None]:
+    """The place of each field by its header name; None for fields that no column names."""
     bare = [re.sub("[^A-Z0-9]", "", n.upper()) for n in names]
-    out = dict(POSITIONS)
-    for field, wanted in HEADERS.items():
-        for name in wanted:
-            if name in bare:
-                out[field] = bare.index(name)
-    return out
+    places = {field: [k for k, name in enumerate(bare) if name in wanted] for field, wanted in headers.items()}
+    return {field: (p[0] if field in FIRST_COUNTS else p[-1]) if p else None for field, p in places.items()}
 
 
-def _fields(spark: SparkSession, path: str, width: int) -> tuple[list[str], DataFrame]:
-    """(header names, rows as string columns _0.. with the number of fields present)."""
-    schema = ", ".join(f"_{k} string" for k in range(width))
-    rows = spark.read.csv(path, schema=schema, header=False, mode="PERMISSIVE", encoding="UTF-8", quote='"', escape='"')
-    first = spark.read.text(path).limit(1).collect()
-    names = [c.strip().strip('"') for c in (first[0][0].lstrip("﻿") if first else "").split(",")]
-    return names, rows
+def read_records(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """(fields of the first line, later lines): cells (array of all fields) and ord (the line's place).
 
+    A record is one line. Blank lines are no records.
+    """
+    lines = read_lines(spark, path).select("ord", F.regexp_replace("value", "^\ufeff", "").alias("value")).filter(F.trim("value") != "")
+    first = lines.agg(F.min(F.struct("ord", "value")).alias("r")).select("r.value", split_fields(F.col("r.value")).alias("names")).first()
+    if first.value is None:
+        return [], spark.createDataFrame([], "cells array<string>, ord long")
+    # Of lines that are spelt like the first one, the first is the header.
+    alike = lines.filter(F.col("value") == first.value).withColumn("_k", F.row_number().over(Window.orderBy("ord"))).filter("_k > 1").drop("_k")
+    later = lines.filter(F.col("value") != first.value).unionByName(alike)
+    return first.names, later.select(split_fields(F.col("value")).alias("cells"), "ord")
 
-def _cell(x: Column) -> Column:
-    return F.coalesce(F.rtrim(F.regexp_replace(F.trim(x), ",+$", "")), F.lit(""))
+
+def _cell(place: int | None) -> Column:
+    """The field at ``place``; '' where the line or the header has none."""
+    return F.lit("") if place is None else F.regexp_replace(F.coalesce(F.get("cells", place), F.lit("")), ",+$", "")
 
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
-    """code, make, model; later rows win. The header line itself is dropped."""
-    _, rows = _fields(spark, path, 12)
-    named = rows.select(
-        F.upper(_cell(F.regexp_replace("_0", "^﻿", ""))).alias("code"),
-        _cell(F.col("_1")).alias("make"),
-        _cell(F.col("_2")).alias("model"),
-        F.monotonically_increasing_id().alias("ord"),
-    ).filter("code <> '' and code <> 'CODE'")
-    return named.groupBy("code").agg(F.max_by(F.struct("make", "model"), "ord").alias("r")).select("code", "r.*")
+    """code, make, model of an aircraft reference file, by its header's names, else by position; later rows win."""
+    names, rows = read_records(spark, path)
+    named = any(n.strip().upper() in ("CODE", "MFR") for n in names)
+    at = resolve_header(names, REFERENCE_HEADERS) if named else REFERENCE_POSITIONS
+    cells = rows.select(F.upper(_cell(at["code"])).alias("code"), _cell(at["make"]).alias("make"), _cell(at["model"]).alias("model"), "ord")
+    kept = cells.filter("code <> '' and code <> 'CODE'")
+    return kept.groupBy("code").agg(F.max_by(F.struct("make", "model"), "ord").alias("r")).select("code", "r.*")
 
 
 def read_master(spark: SparkSession, path: str, reference: DataFrame) -> DataFrame:
-    """Aircraft rows of a MASTER file; its first line is always taken as the header."""
-    names, rows = _fields(spark, path, 40)
-    at = resolve_header(names)
-    seen = F.coalesce(F.greatest(*(F.when(F.col(f"_{k}").isNotNull(), F.lit(k + 1)) for k in range(40))), F.lit(0))
-    cell = {f: _cell(F.col(f"_{k}")) for f, k in at.items()}
-    key = F.regexp_replace(cell["n_number"], "^﻿", "")
-    first = names[0].upper() if names else ""
-    header_line = (F.trim(F.regexp_replace(F.col("_0"), "^﻿", "")) == (names[0] if names else "")) & (
-        F.trim(F.coalesce("_6", F.lit(""))) == (names[6].strip() if len(names) > 6 else "")
-    )
-    kept = rows.filter(seen >= MIN_FIELDS).filter(~header_line).filter((key != "") & (F.upper(key) != "N-NUMBER") & (F.upper(key) != first))
+    """Aircraft rows of a MASTER file: every line of seven fields or more. The first line is the header; where it
+    names columns, fields are found by name and those it lacks are empty, else they are found by position."""
+    names, rows = read_records(spark, path)
+    named = any(n.replace(" ", "").upper() == "N-NUMBER" for n in names)
+    at = resolve_header(names) if named else POSITIONS
+    key = _cell(at["n_number"])
+    kept = rows.filter(F.size("cells") >= MIN_FIELDS).filter((key != "") & (F.upper(key) != "N-NUMBER"))
+    if not named:
+        kept = kept.filter(F.upper(F.replace(F.get("cells", 0), F.lit(" "), F.lit(""))) != "N-NUMBER")
     plain = kept.select(
         canonical_n_number(key).alias("n_number"),
-        *(cell[f].alias(f) for f in AIRCRAFT_COLUMNS[1:10]),
-        canonical_icao24(cell["icao24"]).alias("icao24"),
-        (F.upper(cell["fractional_owner"]) == "Y").alias("fractional_owner"),
-        F.upper(cell["mfr_mdl_code"]).alias("code"),
+        *(_cell(at[f]).alias(f) for f in AIRCRAFT_COLUMNS[1:10]),
+        canonical_icao24(_cell(at["icao24"])).alias("icao24"),
+        (F.upper(_cell(at["fractional_owner"])) == "Y").alias("fractional_owner"),
+        F.upper(_cell(at["mfr_mdl_code"])).alias("code"),
     )
     return _with_reference(plain, reference)
 
@@ -111,7 +153,7 @@ def _with_reference(plain: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def read_zip(spark: SparkSession, zip_path: str, folder: str) -> DataFrame:
-    paths = unpack(zip_path, folder)
+    paths = unpack(spark, zip_path, folder)
     return read_master(spark, paths["MASTER"], read_reference(spark, paths["ACFTREF"]))
 
 
