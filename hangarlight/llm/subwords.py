@@ -28,13 +28,13 @@ MOST, LONGEST = 1 << 19, 64
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same for ASCII texts, in classes that the faster library knows.
 _ASCII_WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
-_INSIDE_RUN = re.compile(rf"(?:^|[\s{BLANK}]) ")
+_INSIDE_RUN = re.compile(rf"[\s{BLANK}] ")
 _CUT = re.compile(rf" (?<=[^\s{BLANK}] )")
 
 
 def pieces(text: str) -> list[str]:
     """The text between its cuts, without the blanks of the cuts."""
-    return _CUT.split(text) if _INSIDE_RUN.search(text) else text.split(" ")
+    return _CUT.split(text) if text.startswith(" ") or _INSIDE_RUN.search(text) else text.split(" ")
 
 
 class _Cache(dict):
@@ -99,7 +99,6 @@ class Encoder:
         )
         self.size = library.get_vocab_size()
         specials = [] if specials_as_text else [t["content"] for t in spec["added_tokens"]]
-        special = re.compile("|".join(map(re.escape, specials)) or "(?!)").search
         characters, find, tokenize, pack = byte_characters(), regex.compile(WORDS).findall, library.model.tokenize, self.pack
         space = characters[0x20]
 
@@ -115,8 +114,9 @@ class Encoder:
             return library.encode(text, add_special_tokens=False).ids
 
         def piece(text: str) -> bytes:
-            if special(text):
-                return pack(whole(text))
+            for special in specials:
+                if special in text:
+                    return pack(whole(text))
             found = _ASCII_WORDS.findall(text) if text.isascii() else find(text)
             return b"".join(map(known.__getitem__, found))
 
