@@ -15,9 +15,9 @@ blocks the documents are read once per block, one block is in memory at a time,
 and word.
 
 Defined results: null text and text without words have no words and no hits; texts of any length are searched
-whole. Items with null id or without words are no phrases; ids may be of any type and are reported as strings. Rows
-repeating a doc_id are separate documents; rows repeating an item_id count as one item. Without items or documents
-there are no hits or no rows.
+whole. Items without words are no phrases; ids may be of any type and are reported as strings. Rows repeating a doc_id are
+separate documents; rows repeating an item_id count as one item, those with null ids too, which no list of ids
+names. Without items or documents there are no hits or no rows.
 """
 
 from __future__ import annotations
@@ -44,9 +44,9 @@ DROP_WORDS = 1 << 19
 class Phrases:
     """A block of phrases over a vocabulary of word hashes; symbol 0 ends, 1 separates, words follow."""
 
-    def __init__(self, items: list[str], hashes: list[np.ndarray], window: int):
+    def __init__(self, items: list[str | None], hashes: list[np.ndarray], window: int):
         #: Ids of the items; phrases name them by their place here.
-        self.names = np.array(sorted(set(items)), dtype=object)
+        self.names = np.array(sorted(set(items), key=lambda i: (i is not None, i or "")), dtype=object)
         place = {name: k for k, name in enumerate(self.names)}
         self.vocabulary = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
         self.symbols = len(self.vocabulary) + 2
@@ -88,7 +88,7 @@ def item_words(benchmark: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(bounds) - 1), lists], names=["item", "words"])
 
-    known = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).filter("item is not null")
+    known = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
     return known.mapInArrow(run, "item string, words array<long>").filter(F.size("words") > 0)
 
 

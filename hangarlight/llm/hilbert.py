@@ -18,7 +18,8 @@ all curves. Data with clusters or few true dimensions meet a small part.
 Nearness is the inner product. Vectors are lifted by one coordinate to equal length, so the largest
 product is the smallest distance. Defined results: null, zero or non-finite vectors, null ids and vectors
 of another dimension than most take no part; products that overflow are infinite scores. Equal scores go to the
-smaller id. Rows repeating an id are candidates once (the smallest vector), and a query does not meet its own id.
+smaller id. Rows that repeat an id are queries and candidates of their own, alike or not: a query meets every row but its
+own. Very long vectors are compared whole; columns besides vec_id and embedding are not read.
 An empty table has no result.
 """
 
@@ -85,7 +86,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """(vec_id, vector), one row for each id that takes part, and the dimension."""
+    """(row, vec_id, vector) of the rows that take part, and the dimension; ``row`` is a number of each row's own."""
     single = vectors.schema["embedding"].dataType.elementType.simpleString() == "float"
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("vector"))
     v = v.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
@@ -93,13 +94,13 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     v = v.filter(~odd & F.exists("vector", lambda x: x != 0))
     common = v.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     dim = common[0]["d"] if common else 1
-    one = v.filter(F.size("vector") == dim).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    return materialize(one), dim
+    # The numbers are written with the rows, so every later reading finds the same.
+    return materialize(v.filter(F.size("vector") == dim).select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector")), dim
 
 
 def bounded_sample(rows: DataFrame, dim: int, size: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
     """At most ``size`` vectors, chosen by a digest of their id, and the largest length of any vector."""
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(size).select("vector").toArrow()
+    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(size).select("vector").toArrow()
     squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     longest = rows.agg(F.max(F.sqrt(squares))).first()[0] or 1.0
     return _matrix(chosen.column(0)).reshape(-1, dim), float(longest)
@@ -180,7 +181,7 @@ def calibrate(sample: np.ndarray, longest: float, n: int, top: int = TOP, most:
 
 
 def places(rows: DataFrame, curves: Curves, n: int) -> DataFrame:
-    """vec_id, curve, place: where each of the ``n`` rows stands on each curve, from 0."""
+    """row, curve, place: where each of the ``n`` rows stands on each curve, from 0."""
 
     def run(batches):
         for batch in batches:
@@ -190,31 +191,31 @@ def places(rows: DataFrame, curves: Curves, n: int) -> DataFrame:
             count = keys.shape[1]
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), count)
             numbers = np.tile(np.arange(count, dtype=np.int32), len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(numbers), pa.array(keys.reshape(-1))], names=["vec_id", "curve", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(numbers), pa.array(keys.reshape(-1))], names=["row", "curve", "key"])
 
-    order = ["curve", "key", "vec_id"]
+    order = ["curve", "key", "row"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = rows.select("vec_id", "vector").mapInArrow(run, "vec_id long, curve int, key long")
+    keyed = rows.select("row", "vector").mapInArrow(run, "row long, curve int, key long")
     ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # The id holds the partition in its high bits and the row in its low 33.
-    numbered = materialize(ordered.select("vec_id", "curve", F.monotonically_increasing_id().alias("at")))
-    numbered = numbered.withColumn("part", F.shiftright("at", 33)).withColumn("row", F.col("at").bitwiseAND((1 << 33) - 1))
+    numbered = materialize(ordered.select("row", "curve", F.monotonically_increasing_id().alias("at")))
+    numbered = numbered.withColumn("part", F.shiftright("at", 33)).withColumn("ahead", F.col("at").bitwiseAND((1 << 33) - 1))
     counts = numbered.groupBy("part").agg(F.count("*").alias("n"))  # one row per partition
-    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     # Every curve holds all rows, so the places of a curve begin at its number times n.
-    place = F.col("start") + F.col("row") - F.col("curve").cast("long") * n
-    return numbered.join(F.broadcast(starts), "part").select("vec_id", "curve", place.alias("place"))
+    place = F.col("start") + F.col("ahead") - F.col("curve").cast("long") * n
+    return numbered.join(F.broadcast(starts), "part").select("row", "curve", place.alias("place"))
 
 
-def _best(q_ids, q, v_ids, v, top):
-    """Exact best ``top`` of v for each q: (q_id, v_id, score), ties to smaller ids."""
+def _best(q_rows, q, v_rows, v_ids, v, top):
+    """Exact best ``top`` of v for each q but its own row: (q's row, place in v, score), ties to smaller ids."""
     out_q, out_v, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
     with np.errstate(over="ignore", invalid="ignore"):
         for k in range(0, len(q), 256):
-            part, ids = q[k : k + 256], q_ids[k : k + 256]
+            part, own = q[k : k + 256], q_rows[k : k + 256]
             scores = np.nan_to_num(part @ v.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
-            other = ids[:, None] != v_ids[None, :]
+            other = own[:, None] != v_rows[None, :]
             near = other
             if scores.shape[1] > top + 1:
                 edge = np.partition(np.where(other, scores, -np.inf), -top, axis=1)[:, -top]
@@ -222,55 +223,60 @@ def _best(q_ids, q, v_ids, v, top):
                 near = other & (scores >= np.where(np.isfinite(edge), edge - 1e-9 * (1 + np.abs(edge)), edge)[:, None])
             row, col = np.nonzero(near)
             exact = np.einsum("ij,ij->i", part[row], v[col])
-            order = np.lexsort((v_ids[col], -np.nan_to_num(exact, nan=-np.inf, posinf=np.inf, neginf=-np.inf), row))
+            order = np.lexsort((v_rows[col], v_ids[col], -np.nan_to_num(exact, nan=-np.inf, posinf=np.inf, neginf=-np.inf), row))
             row, col, exact = row[order], col[order], exact[order]
             rank = np.arange(len(row)) - np.searchsorted(row, row)
             keep = rank < top
-            out_q.append(ids[row[keep]])
-            out_v.append(v_ids[col[keep]])
+            out_q.append(own[row[keep]])
+            out_v.append(col[keep])
             out_s.append(exact[keep])
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_row long, row long, vec_id long, score double"
+_NAMES = [f.split()[0] for f in FOUND.split(", ")]
+
+
+def _found(q_rows, q, v_rows, v_ids, v, top) -> list[pa.Array]:
+    query, at, score = _best(q_rows, q, v_rows, v_ids, v, top)
+    return [pa.array(x) for x in (query, v_rows[at], v_ids[at], score)]
 
 
 def _top(found: DataFrame, top: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
 
 def search(rows: DataFrame, placed: DataFrame, n: int, block: int, reach: int, top: int, step: int) -> DataFrame:
     """FOUND rows ranked: each query meets the blocks within ``reach`` of its own, on every curve."""
     last = max(0, (n - 1) // block)
-    spread = rows.join(placed.select("vec_id", "curve", F.expr(f"place div {block}").alias("block")), "vec_id")
+    spread = rows.join(placed.select("row", "curve", F.expr(f"place div {block}").alias("block")), "row")
     low, high = F.greatest(F.lit(0), F.col("block") - reach), F.least(F.lit(last), F.col("block") + reach)
-    asking = spread.filter(F.col("vec_id") % step == 0).select("vec_id", "vector", "curve", F.explode(F.sequence(low, high)).alias("block"))
+    asking = spread.filter(F.col("vec_id") % step == 0).select("row", "vector", "curve", F.explode(F.sequence(low, high)).alias("block"))
 
     def meet(asked: pa.Table, held: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        if asked.num_rows and held.num_rows:
-            q_ids, v_ids = asked["vec_id"].to_numpy(), held["held_vec_id"].to_numpy()
-            found = _best(q_ids, _matrix(asked["vector"]), v_ids, _matrix(held["held_vector"]), top)
-        return pa.table([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
+        if not asked.num_rows or not held.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64())], names=_NAMES)
+        rows, ids = held["held_row"].to_numpy(), held["held_vec_id"].to_numpy()
+        return pa.table(_found(asked["row"].to_numpy(), _matrix(asked["vector"]), rows, ids, _matrix(held["held_vector"]), top), names=_NAMES)
 
-    held = spread.select(*[F.col(c).alias(f"held_{c}") for c in ("vec_id", "vector", "curve", "block")])
+    held = spread.select(*[F.col(c).alias(f"held_{c}") for c in ("row", "vec_id", "vector", "curve", "block")])
     met = asking.groupBy("curve", "block").cogroup(held.groupBy("held_curve", "held_block")).applyInArrow(meet, FOUND)
     return _top(met.distinct(), top)
 
 
 def brute_force(rows: DataFrame, top: int, step: int) -> DataFrame:
-    """FOUND rows of the true neighbours of at most CHECKED queries."""
-    chosen = rows.filter(F.col("vec_id") % step == 0).orderBy(F.xxhash64("vec_id"), "vec_id").limit(CHECKED).toArrow()
-    q_ids, q = chosen["vec_id"].to_numpy(), _matrix(chosen["vector"])
+    """query_row, row of the true neighbours of at most CHECKED queries."""
+    chosen = rows.filter(F.col("vec_id") % step == 0).orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(CHECKED).toArrow()
+    q_rows, q = chosen["row"].to_numpy(), _matrix(chosen["vector"])
 
     def compare(batches):
         for batch in batches:
-            if len(q_ids) and batch.num_rows:
-                found = _best(q_ids, q, batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)), top)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
+            if len(q_rows) and batch.num_rows:
+                held = [batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(_found(q_rows, q, *held, _matrix(batch.column(2)), top), names=_NAMES)
 
-    return materialize(_top(rows.mapInArrow(compare, FOUND), top).select("query_id", "vec_id"))
+    return materialize(_top(rows.mapInArrow(compare, FOUND), top).select("query_row", "row"))
 
 
 def nearest(vectors: DataFrame, top: int = TOP, step: int = QUERY_STEP, curves: int = CURVES, recall: float = RECALL, least: float = LEAST_RECALL) -> DataFrame:
@@ -292,11 +298,12 @@ def nearest(vectors: DataFrame, top: int = TOP, step: int = QUERY_STEP, curves:
     wanted = truth.count()
     while True:
         found = materialize(search(rows, placed, n, block, reach, top, step))
-        share = found.join(truth, ["query_id", "vec_id"], "left_semi").count() / wanted if wanted else 1.0
+        share = found.join(truth, ["query_row", "row"], "left_semi").count() / wanted if wanted else 1.0
         if share >= least or reach * block >= n:
             break
         reach *= 2
-    return found.select(
+    asked = rows.filter(F.col("vec_id") % step == 0).select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"))
+    return found.join(asked, "query_row").select(
         "query_id",
         F.col("rank").cast("int").alias("rank"),
         "vec_id",

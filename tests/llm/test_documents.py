@@ -124,21 +124,21 @@ def test_token_counts_are_the_librarys_and_cached(spark, tmp_path):
 def test_contamination_equals_brute_force(spark, block):
     rng = random.Random(5)
     items = [(k, " ".join(rng.choices("abcdefgh", k=rng.choice([1, 4, 9, 10, 11, 25])))) for k in range(1, 9)]
-    items = [(i, t + f" q{i}") for i, t in items] + [(20, None), (21, " -- "), (22, "tail WORDS, here")]
+    items = [(i, t + f" q{i}") for i, t in items] + [(20, None), (21, " -- "), (22, "tail WORDS, here"), (None, "null id")]
     rows = [*odd_rows()[:6], *odd_rows()[8:]]
     for k in range(40):
         words = rng.choices("abcdefgh", k=rng.randint(0, 60))
         if k % 2:
             words[10:10] = (rng.choice(items)[1] or "").split()
         rows.append((100 + k, " ".join(words).upper() if k % 3 else ", ".join(words)))
-    benchmark = spark.createDataFrame([*items, (None, "null id")], "item_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
     docs = frame(spark, rows)
     found = decontaminate.contamination(docs, benchmark, block=block).collect()
     wanted = Counter()
     for i, t in rows:
         n, hit, which = brute.contamination(t, items)
         wanted[(i, n, hit, tuple(sorted(map(str, which))))] += 1
-    assert Counter((r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), tuple(sorted(r["items"]))) for r in found) == wanted
+    assert Counter((r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), tuple(sorted(map(str, r["items"])))) for r in found) == wanted
     clean = decontaminate.drop_contaminated(docs, benchmark, block=block)
     assert clean.columns == docs.columns
     assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, t in rows if not brute.contamination(t, items)[1])
@@ -233,7 +233,10 @@ def test_items_with_names_for_ids(spark):
     benchmark = spark.createDataFrame([("b", "alpha beta"), ("a10", "alpha"), ("a9", "beta gamma"), ("b", "gamma"), ("b", "gamma"), (None, "delta")], "item_id string, text string")
     found = decontaminate.report(frame(spark, [(1, "Alpha beta gamma delta"), (2, "delta")]), benchmark).collect()
     ids = hashlib.sha256(b"a10,a9,b").hexdigest()
-    assert [(r.doc_id, r.n_hit, r.n_items, r.items_sha256) for r in found] == [(1, 3, 3, ids), (2, 0, 0, hashlib.sha256(b"").hexdigest())]
+    # An item without an id hits and counts, but no list of ids names it.
+    assert [(r.doc_id, r.n_hit, r.n_items, r.items_sha256) for r in found] == [(1, 4, 4, ids), (2, 1, 1, hashlib.sha256(b"").hexdigest())]
+    blocks = decontaminate.contamination(frame(spark, [(1, "Alpha beta gamma delta"), (2, "delta")]), benchmark, block=1)
+    assert sorted((r.doc_id, len(r["items"])) for r in blocks.collect()) == [(1, 4), (2, 1)]
 
 
 def test_severity_separates_held_out_documents(spark):

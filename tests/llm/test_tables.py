@@ -216,9 +216,9 @@ def test_places_on_curves_are_a_permutation_in_key_order(spark):
     rows, dim = hilbert.usable(table)
     curves = hilbert.fit_curves(*hilbert.bounded_sample(rows, dim), count=3)
     found = hilbert.places(rows, curves, 500).collect()
-    keys = dict(zip(*zip(*((r.vec_id, np.array([r.vector])) for r in rows.collect()), strict=True), strict=True))
+    keys = dict(zip(*zip(*((r.row, np.array([r.vector])) for r in rows.collect()), strict=True), strict=True))
     for c in range(3):
-        at = {r.place: r.vec_id for r in found if r.curve == c}
+        at = {r.place: r.row for r in found if r.curve == c}
         assert sorted(at) == list(range(500))
         order = [(int(curves.keys(keys[at[k]])[0, c]), at[k]) for k in range(500)]
         assert order == sorted(order)
@@ -241,7 +241,17 @@ def test_odd_vectors_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]), (7, []), (1, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     found = [(r.query_id, r["rank"], r.vec_id, r.score) for r in hilbert.nearest(table).orderBy("query_id", "rank").collect()]
-    assert found == [(0, 1, 1, 1.0), (0, 2, 20, 0.0), (20, 1, 1, 1.0), (20, 2, 0, 0.0)]
+    assert found == [(0, 1, 1, 1.0), (0, 2, 1, 1.0), (0, 3, 20, 0.0), (20, 1, 1, 1.0), (20, 2, 1, 1.0), (20, 3, 0, 0.0)]
+
+
+def test_rows_that_repeat_an_id_are_rows_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.5]), (1, [2.0, 0.0]), (20, [0.0, 1.0]), (20, [0.5, 0.0])]
+    found = hilbert.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    wanted = []
+    for k, (i, q) in enumerate(rows):
+        near = sorted((-(q[0] * v[0] + q[1] * v[1]), j) for n, (j, v) in enumerate(rows) if n != k)
+        wanted += [(i, rank, j, -s) for rank, (s, j) in enumerate(near, 1)] if i % 20 == 0 else []
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == sorted(wanted)
 
 
 def test_empty_tables(spark):
