@@ -75,3 +75,9 @@ SNIPPET_MARGIN, KEYWORD_MARGIN = 180, 800
 # Publication floors.
 MASTER_FLOOR = 300_000
 SMALL_FEED = 50
+
+# What index pages of filings and display names of filers look like.
+INDEX_ROW = r'(?i)<td scope="row">(\d+)</td>\s*<td scope="row">[^<]*</td>\s*<td scope="row"><a href="(?:/ix\?doc=)?(/Archives/edgar/data/\d+/\d+/[^"]+)"'
+VIEWER_LINK = r"""(?i)ix\?doc=(/Archives/edgar/data/\d+/\d+/[^&"']+\.(?:htm|html))"""
+PAGE_LINK = r'(?i)href="(/Archives/edgar/data/\d+/\d+/[^"]+\.(?:htm|html))"'
+TICKER_IN_NAME = r"\(([A-Z][A-Z0-9.\-]{0,6})\)"

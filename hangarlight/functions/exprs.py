@@ -56,10 +56,6 @@ def normalize_address(street: Column, city: Column, state: Column) -> Column:
     return F.regexp_replace(whole, r"(?s)^(?:\|.*|[^|]*\|\|.*)$", "")
 
 
-def mapping_identity(ticker: Column, cik: Column, method: Column, registrant: Column) -> Column:
-    return F.concat_ws("|", ticker, cik, method, registrant)
-
-
 def is_calendar_day(x: Column) -> Column:
     """A strict YYYY-MM-DD day."""
     return F.coalesce(x.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(x, "yyyy-MM-dd").isNotNull(), F.lit(False))

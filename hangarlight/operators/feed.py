@@ -287,9 +287,9 @@ class Feed:
         folder = f"{self.root}/snapshots/.{version}.{as_of}"
         log = self.spark.read.schema(CHANGELOG).parquet(*[f"{self.root}/{v}/changelog" for v in (*self.versions(), version)])
         changelog_for(log, as_of).write.json(f"{folder}/changelog")
-        conflicts.write.json(f"{folder}/conflicts")
-        self.spark.read.schema(self.TABLES["unresolved_trusts"]).parquet(f"{self.root}/{version}/unresolved_trusts").write.json(f"{folder}/unresolved_trusts")
-        self._current(files).write.parquet(f"{folder}/mappings_current")
+        conflicts.orderBy("n_number").write.json(f"{folder}/conflicts")
+        self.spark.read.schema(self.TABLES["unresolved_trusts"]).parquet(f"{self.root}/{version}/unresolved_trusts").orderBy("n_number").write.json(f"{folder}/unresolved_trusts")
+        self._current(files).orderBy("n_number").write.parquet(f"{folder}/mappings_current")
 
     def _settle_snapshots(self) -> None:
         """Give each waiting snapshot of a published version its day's name, and remove those of versions that failed."""
@@ -308,7 +308,8 @@ class Feed:
                     fs.delete(waiting, True)
 
     def export_csv(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").csv(f"{self.root}/exports/{name}", header=True)
+        """A table as CSV files with a header, in the order of its tails."""
+        df.orderBy("n_number").write.mode("overwrite").csv(f"{self.root}/exports/{name}", header=True)
 
 
 def check_dates(spark: SparkSession, as_of: str, recorded_at: str) -> None:

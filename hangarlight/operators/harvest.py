@@ -120,8 +120,8 @@ def archives_url(cik: Column, accession: Column, filename: Column) -> Column:
 
 def document_url_for_sequence(index_html: Column, sequence: Column) -> Column:
     """The document of a sequence number in an index page's table; null if it is absent or not a text."""
-    row = r'(?i)<td scope="row">(\d+)</td>\s*<td scope="row">[^<]*</td>\s*<td scope="row"><a href="(?:/ix\?doc=)?(/Archives/edgar/data/\d+/\d+/[^"]+)"'
-    rows = F.arrays_zip(F.regexp_extract_all(index_html, F.lit(row), F.lit(1)).alias("seq"), F.regexp_extract_all(index_html, F.lit(row), F.lit(2)).alias("path"))
+    found = [F.regexp_extract_all(index_html, F.lit(D.INDEX_ROW), F.lit(k)) for k in (1, 2)]
+    rows = F.arrays_zip(found[0].alias("seq"), found[1].alias("path"))
     fits = F.filter(rows, lambda x: (x["seq"].try_cast("int") == sequence) & ~skip_document_filename(F.element_at(F.split(x["path"], "/"), -1)))
     return F.concat(F.lit(ARCHIVE), F.get(fits, 0)["path"])
 
@@ -129,14 +129,14 @@ def document_url_for_sequence(index_html: Column, sequence: Column) -> Column:
 def primary_document_url(index_html: Column, cik: Column, accession: Column) -> Column:
     """The viewer's document, else the first page linked in the archive, else the complete text file."""
     not_index = lambda p: ~F.lower(p).rlike(r"-index\.html$")
-    viewer = F.filter(F.regexp_extract_all(index_html, F.lit(r"""(?i)ix\?doc=(/Archives/edgar/data/\d+/\d+/[^&"']+\.(?:htm|html))"""), F.lit(1)), not_index)
-    linked = F.filter(F.regexp_extract_all(index_html, F.lit(r'(?i)href="(/Archives/edgar/data/\d+/\d+/[^"]+\.(?:htm|html))"'), F.lit(1)), not_index)
+    viewer = F.filter(F.regexp_extract_all(index_html, F.lit(D.VIEWER_LINK), F.lit(1)), not_index)
+    linked = F.filter(F.regexp_extract_all(index_html, F.lit(D.PAGE_LINK), F.lit(1)), not_index)
     page = F.concat(F.lit(ARCHIVE), F.coalesce(F.get(viewer, 0), F.get(linked, 0)))
     return F.coalesce(page, archives_url(cik, accession, F.concat(accession, F.lit(".txt"))))
 
 
 def ticker_of_display_name(name: Column) -> Column:
-    return F.nullif(F.regexp_extract(name, r"\(([A-Z][A-Z0-9.\-]{0,6})\)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(name, D.TICKER_IN_NAME, 1), F.lit(""))
 
 
 def first_filings(hits: DataFrame, max_hits: int) -> DataFrame:
