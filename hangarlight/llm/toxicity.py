@@ -31,8 +31,6 @@ from .common import materialize
 from .wordhash import _VALUES, ALNUM, _power_tables, chunks, distinct, mix64, words
 
 SAMPLE = 8_000
-#: Features of fewer sampled documents are not counted: so few cannot reach the bar of the screen.
-MIN_DOCS = 3
 #: Features that are expected to pass the screen by chance.
 BY_CHANCE = 3.0
 PREFIXES = (4, 5, 6)
@@ -100,18 +98,32 @@ def screen(sample: DataFrame, by_chance: float = BY_CHANCE) -> np.ndarray:
     if not n_toxic or not n_clean:
         return np.zeros(0, np.uint64)
     counts = sample.mapInArrow(count, "f long, n long, t long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    counts = materialize(counts.filter(F.col("n") >= MIN_DOCS))
+    counts = materialize(counts)
     share = n_toxic / (n_toxic + n_clean)
+    testable, least = _bar(counts, share, by_chance)
     clean = F.col("n") - F.col("t")
     # Log-likelihood ratio of the toxic share among the feature's documents against the sample's.
     ratio = F.col("t") * F.log(F.col("t") / F.col("n") / share)
     ratio += F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - share))).otherwise(0.0)
-    # exp(-ratio) bounds the chance of such a count, so about ``by_chance`` features pass by chance.
-    least = np.log(max(counts.count(), 1) / by_chance)
-    indicative = counts.filter(F.col("t") > F.col("n") * share).withColumn("ratio", ratio).filter(F.col("ratio") >= float(least))
+    indicative = counts.filter((F.col("n") >= testable) & (F.col("t") > F.col("n") * share)).withColumn("ratio", ratio).filter(F.col("ratio") >= float(least))
     return np.sort(np.array([r["f"] for r in indicative.select("f").collect()], dtype=np.int64).view(np.uint64))
 
 
+def _bar(counts: DataFrame, share: float, by_chance: float, most: int = 64) -> tuple[int, float]:
+    """(documents, ratio) that a feature needs to pass the screen.
+
+    exp(-ratio) bounds the chance of a feature's count, so with a bar of log(tested / by_chance) about ``by_chance`` of the
+    tested features pass by chance. A feature of n documents, all of them toxic, has the ratio -n log(share) and no feature of n
+    documents has more; so those of which n is too small for the bar need no test, and do not raise it.
+    """
+    by_n = dict(map(tuple, counts.groupBy(F.least("n", F.lit(most)).cast("int")).count().collect()))  # at most ``most`` rows
+    for n in range(1, most + 1):
+        bar = float(np.log(max(1, sum(c for k, c in by_n.items() if k >= n)) / by_chance))
+        if -n * np.log(share) >= bar:
+            return n, bar
+    return most, bar
+
+
 @dataclass
 class Model:
     """Known features (sorted hashes), their shared weights, and the increasing thresholds."""
