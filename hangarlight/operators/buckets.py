@@ -30,7 +30,7 @@ def _bucket_in(file: str) -> int:
 def write_buckets(df: DataFrame, key: str, buckets: int, root: str, folder: str) -> list[tuple[int, str, str]]:
     """Write ``df`` in buckets into ``root/folder``; its files. Buckets without rows have none."""
     spark, name = df.sparkSession, f"buckets_{uuid.uuid4().hex}"
-    dealt = df.repartition(buckets, key)
+    dealt = df.repartitionById(buckets, bucket_of(key, buckets))  # a bucket is one task and one file
     dealt.write.format("parquet").option("path", f"{root}/{folder}").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")  # external: the files stay
     return [(_bucket_in(f), folder, f) for f in names(f"{root}/{folder}") if f.startswith("part-")]
