@@ -17,7 +17,8 @@ and word.
 Defined results: null text and text without words have no words and no hits; texts of any length are searched
 whole. Items without words are no phrases; ids may be of any type and are reported as strings. Rows repeating a doc_id are
 separate documents; rows repeating an item_id count as one item, those with null ids too, which no list of ids
-names. Without items or documents there are no hits or no rows.
+names. Without items or documents there are no hits or no rows. Reports read doc_id and text alone; ``drop_contaminated``
+keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ with their host's array, not line by line, and the pages of a large host are dea
 Defined results: null html has no lines. Pages whose url has no host belong to no site and lose nothing.
 A line that stands on one page only is no boilerplate, whatever its ratio, so a site of one page keeps all. A
 line repeated inside a page counts once, and all its occurrences go. Rows repeating a page_id, and rows alike in
-all columns, are pages of their own.
+all columns, are pages of their own. Html and lines of any length are read whole. An empty table has no result. Reports read
+page_id, url and html alone; other columns stay as they are where pages are cleaned, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Tokens are words unless the caller gives another column, such as op2's stored co
 Defined results: null text has no tokens; null lang or source form leaves of their own ('' in the tree).
 Documents without tokens cost nothing and are taken with the epochs that reach them; a leaf without any
 tokens is taken whole, once, at any budget. Null ids are ordered as '' and rows repeating an id in a leaf go
-together.
+together. Texts of any length are counted whole. An empty table has no result. ``mix`` keeps all columns, whatever
+their names.
 """
 
 from __future__ import annotations

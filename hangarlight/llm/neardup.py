@@ -14,15 +14,17 @@ How it stays whole and bounded:
   overlap allows. Both start from members outside the hub's component. A passage that many documents share
   lies inside the hub and makes no pairs.
 * A class, bucket, hub or shingle that holds many rows is dealt over several tasks (``join_hot``).
-* Texts are never shuffled. Sets to verify are made where the texts lie, for ids that pass a bitmap of the
-  candidates; ``dedup`` selects its rows by such bitmaps (``keep_rows``).
+* Sets to verify are made where the texts lie, for ids that pass a bitmap of the candidates; ``dedup`` selects its
+  rows by such bitmaps (``keep_rows``). Bitmaps have a largest size. Beyond it, at about 1e8 ids, sets that need no
+  comparison pass as well and are shuffled, and ``dedup`` joins rows that are left in doubt, with their texts.
 
 Two sets at exactly the threshold share none of the 32 bands with probability (1 - 0.75^4)^32, about 5e-6;
 such a pair is missed unless a third document links both.
 
 Defined results: null or blank text has an empty set and is linked with nothing. Rows with a null id
 take part in nothing: component null, kept true. Rows that repeat an id are one document: each row has its own
-set size, links of any of them count for all, and ``dedup`` keeps one row of it.
+set size, links of any of them count for all, and ``dedup`` keeps one row of it. Texts of any length are read whole. An empty
+table has no result. Reports read doc_id and text alone; ``dedup`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ All patterns are scanned in linear time: digit and letter runs are entered only
 email scan starts from each ``@``. Scanning is per row inside Arrow batches; nothing is shuffled.
 
 Defined results: null and empty texts have no spans. Very long texts are scanned whole. Rows that repeat an id or a
-text are rows of their own, alike. Offsets are code points, end exclusive. An empty table has no result.
+text are rows of their own, alike. Offsets are code points, end exclusive. An empty table has no result. Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ over (shard, size class, digest range) cells, so no shard is sorted in one task.
 Defined results: null text counts 0 bytes plus the row overhead, its CRC is that of the empty text. Rows
 with a null id lie at the start of their cell's order. Rows repeating an id and text may land in
 different shards, each in one slot; a hash of all columns orders them, and rows alike in all columns are
-interchangeable.
+interchangeable. Texts of any length are one row of a shard. An empty table gives empty shards and no result. Shard files keep all
+columns; the result adds those of the plan in place of columns of the same names.
 """
 
 from __future__ import annotations

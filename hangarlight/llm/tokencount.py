@@ -8,6 +8,7 @@ Texts are not shuffled: the documents to encode are selected in place by bitmaps
 
 Defined results: null text counts as empty, 0 tokens. Rows may repeat ids or texts, and ids may be null; every
 row gets its text's count. Texts of any length are encoded whole. Normalisation is the tokenizer's own, so that counts are exactly its counts.
+An empty table has no result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ place, without a shuffle. A document's score depends on its own features only.
 
 Defined results: null and blank texts have no features and get the clean side's score; texts of any length are
 scored whole; rows that repeat an id or a text are scored one by one and alike. Labels with null doc_id or flag
-are ignored; repeated labels of an id count once, the higher flag wins. Without any toxic label the model is empty and nothing is toxic. An empty table has no result.
+are ignored; repeated labels of an id count once, the higher flag wins. Without any toxic label the model is empty and nothing is toxic. An empty table has no result. Scores
+read doc_id and text alone; ``drop_toxic`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

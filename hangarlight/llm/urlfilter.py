@@ -13,7 +13,8 @@ pages are dealt over several tasks. Ranks and edges are Spark tables, written in
 only a sum per round. Rounds go on until ranks are exact to ``ERROR`` of that limit.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is
-allowed. Null html has no links. Repeated pages are judged alike and count their links again.
+allowed. Null html has no links; html of any length is read whole. Repeated pages are judged alike and count their links again.
+An empty table has no result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
