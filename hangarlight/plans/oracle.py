@@ -214,6 +214,12 @@ SPLICED = """b AS (SELECT doc_id, coalesce(doc_id, 0) AS d, coalesce(text, '') A
 def oracles() -> dict[str, str]:
     arr = lambda c: f"coalesce(array_to_string({c}, '|'), '')"
     hit = "hit.ticker AS ticker, hit.cik AS cik"
+    reasons = f"""WITH {GOLD}, k AS (SELECT upper(ticker) AS ticker, cik, registrant AS name, {norm('registrant')} AS nk FROM gold_flat)
+            SELECT k.ticker, k.cik, k.name, a.n_number, CASE WHEN why IS NOT NULL THEN 'airframe:' || why WHEN class <> 'eligible' THEN 'class:' || class WHEN u.must_not_ticker = k.ticker THEN 'unpublished_suppress'
+              WHEN p.ticker = k.ticker THEN 'already_published_same_ticker' WHEN p.ticker IS NOT NULL THEN 'published_other_ticker' WHEN r.n_number IS NOT NULL THEN 'review_queue' WHEN x.tickers = [k.ticker] THEN 'already_in_name_index' WHEN x.tickers IS NOT NULL THEN 'uniqueness_collision' ELSE 'addable' END AS reason
+            FROM k JOIN air a ON ak = k.nk LEFT JOIN pub p ON p.n_number = a.n_number LEFT JOIN rev r ON r.n_number = a.n_number LEFT JOIN unpublished u ON u.n_number = a.n_number LEFT JOIN nidx x ON x.key = k.nk WHERE k.nk <> ''"""
+    sample = f"""WITH {DECIDED}, r AS (SELECT n_number, match_method, row_number() OVER (PARTITION BY match_method ORDER BY md5('43:' || n_number), n_number) AS pick FROM pub)
+            SELECT n_number, match_method, pick FROM r WHERE pick <= CASE match_method WHEN 'exact_legal_name' THEN 20 WHEN 'ex21_subsidiary' THEN 10 WHEN 'edgar_nnumber' THEN 15 ELSE 0 END"""
     near = _any("lower(snippet)", D.FILING_KEYWORDS) + " OR " + _any("wide", D.FILING_KEYWORDS)
     decoded = "replace(t, '&#39;', '''')"
     for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("nbsp", "\u00a0"), ("middot", "\u00b7"), ("copy", "\u00a9"), ("amp", "&")):
@@ -276,15 +282,14 @@ def oracles() -> dict[str, str]:
             FROM (SELECT DISTINCT ticker FROM gold_flat) g LEFT JOIN m ON m.ticker = upper(g.ticker) LEFT JOIN pb ON pb.ticker = upper(g.ticker) LEFT JOIN rv ON rv.ticker = upper(g.ticker) LEFT JOIN tr ON tr.ticker = upper(g.ticker)""",
         "name_precision": f"""WITH {GOLD}, x AS (SELECT count(*) AS hits, count(*) FILTER (WHERE got = expected) AS tp, count(*) FILTER (WHERE got <> expected) AS fp FROM gh WHERE cr IS NULL AND class = 'eligible' AND nk <> '')
             SELECT *, CASE WHEN tp + fp = 0 THEN 1.0 ELSE tp / (tp + fp) END AS precision FROM x""",
-        "alias_reasons": f"""WITH {GOLD}, k AS (SELECT upper(ticker) AS ticker, cik, registrant AS name, {norm('registrant')} AS nk FROM gold_flat)
-            SELECT k.ticker, k.cik, k.name, a.n_number, CASE WHEN why IS NOT NULL THEN 'airframe:' || why WHEN class <> 'eligible' THEN 'class:' || class WHEN u.must_not_ticker = k.ticker THEN 'unpublished_suppress'
-              WHEN p.ticker = k.ticker THEN 'already_published_same_ticker' WHEN p.ticker IS NOT NULL THEN 'published_other_ticker' WHEN r.n_number IS NOT NULL THEN 'review_queue' WHEN x.tickers = [k.ticker] THEN 'already_in_name_index' WHEN x.tickers IS NOT NULL THEN 'uniqueness_collision' ELSE 'addable' END AS reason
-            FROM k JOIN air a ON ak = k.nk LEFT JOIN pub p ON p.n_number = a.n_number LEFT JOIN rev r ON r.n_number = a.n_number LEFT JOIN unpublished u ON u.n_number = a.n_number LEFT JOIN nidx x ON x.key = k.nk WHERE k.nk <> ''""",
+        "alias_reasons": reasons,
+        "alias_candidates": f"SELECT ticker, upper(name) AS name, array_to_string(list_sort(list(DISTINCT n_number)), '|') AS tails FROM ({reasons}) WHERE reason = 'addable' GROUP BY ALL",
+        "harvest_top_tickers": f"WITH {cte('edgar_hits')} SELECT ticker, count(*) AS n FROM edgar_hits WHERE ticker <> '' GROUP BY 1 ORDER BY n DESC, ticker LIMIT 15",
+        "sample_addresses": f"WITH {cte('aircraft')}, picked AS ({sample}) SELECT n_number, match_method, street, city, state FROM picked LEFT JOIN aircraft USING (n_number)",
         "unpublished_fps": f"WITH {DECIDED} SELECT DISTINCT p.n_number, p.ticker FROM pub p JOIN rubric u ON u.n_number = p.n_number AND upper(u.must_not_ticker) = p.ticker",
         "harvest_stats": f"WITH {cte('edgar_hits')} SELECT n_number, count(DISTINCT cik) AS ciks, count(*) AS hits, count(DISTINCT cik) = 1 AS unique_cik FROM edgar_hits GROUP BY n_number",
         "top_tickers": f"WITH {DECIDED} SELECT ticker, count(*) AS n FROM pub GROUP BY 1 ORDER BY n DESC, ticker LIMIT 15",
-        "stratified_sample": f"""WITH {DECIDED}, r AS (SELECT n_number, match_method, row_number() OVER (PARTITION BY match_method ORDER BY md5('43:' || n_number), n_number) AS pick FROM pub)
-            SELECT n_number, match_method, pick FROM r WHERE pick <= CASE match_method WHEN 'exact_legal_name' THEN 20 WHEN 'ex21_subsidiary' THEN 10 WHEN 'edgar_nnumber' THEN 15 ELSE 0 END""",
+        "stratified_sample": sample,
         "stress_sample": f"""WITH {DECIDED}, m AS (SELECT p.n_number, length(replace({core(norm('registrant_name'))}, ' ', '')) AS core_len, CASE WHEN {norm('registrant_name')} = '' THEN 0 ELSE len(string_split({norm('registrant_name')}, ' ')) END AS n_tokens,
               (upper(c.exchange) = 'OTC')::INT AS is_otc FROM pub p JOIN prim c ON c.cik = p.cik WHERE p.match_method <> 'edgar_nnumber') SELECT * FROM m ORDER BY core_len, n_tokens, is_otc, n_number LIMIT 10""",
         "review_default_verdicts": f"""WITH {DECIDED} SELECT r.n_number, coalesce(CASE WHEN o.n_number IS NOT NULL THEN 'operator_tp' END, CASE WHEN match_method = 'address_cluster' THEN 'hold_address_cluster' WHEN upper(registrant_name) IN {_in(GENERIC_REGISTRANTS)} THEN 'hold_generic_ex21'

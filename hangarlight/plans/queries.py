@@ -349,6 +349,12 @@ def alias_reasons(spark, sf_dir):
     return analytics.alias_reasons(w.gold["companies"], names, w.aircraft, w.published(), w.review(), w.t["unpublished"])
 
 
+@query
+def alias_candidates(spark, sf_dir):
+    """The names whose alias would add tails, with these tails."""
+    return analytics.alias_candidates(alias_reasons(spark, sf_dir)).select("ticker", "name", joined("tails"))
+
+
 @query
 def unpublished_fps(spark, sf_dir):
     w = world(spark, sf_dir)
@@ -366,6 +372,18 @@ def top_tickers(spark, sf_dir):
     return analytics.top_tickers(world(spark, sf_dir).published())
 
 
+@query
+def harvest_top_tickers(spark, sf_dir):
+    return analytics.top_tickers(world(spark, sf_dir).t["edgar_hits"].filter("ticker <> ''"))
+
+
+@query
+def sample_addresses(spark, sf_dir):
+    """The stratified sample with the registry's addresses."""
+    sample = stratified_sample(spark, sf_dir).select("n_number", "match_method")
+    return analytics.with_registry_address(sample, world(spark, sf_dir).aircraft).select("n_number", "match_method", "street", "city", "state")
+
+
 @query
 def stratified_sample(spark, sf_dir):
     quotas = {"exact_legal_name": 20, "ex21_subsidiary": 10, "edgar_nnumber": 15}
