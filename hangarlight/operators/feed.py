@@ -202,9 +202,9 @@ class Feed:
         rows = self.spark.read.schema(self.APPENDED[name]).parquet(*[f"{self.root}/{v}/{name}" for v in versions])
         return run_log(rows) if name == "refresh_run" else rows
 
-    def files(self) -> list[tuple[int, str, str]]:
-        """(bucket, folder, file) of the current table's files in the last version."""
-        version = self.version()
+    def files(self, version: str | None = None) -> list[tuple[int, str, str]]:
+        """(bucket, folder, file) of the current table's files in a version, the last one unless it is named."""
+        version = version or self.version()
         if version is None:
             return []
         rows = self.spark.read.schema(buckets.FILES).parquet(f"{self.root}/{version}/files")
@@ -307,6 +307,30 @@ class Feed:
                 else:
                     fs.delete(waiting, True)
 
+    def vacuum(self, keep: int = 7) -> int:
+        """Remove what no reader of the last ``keep`` versions needs: bucket files that these do not name, the drafts of
+        publications, and folders of runs that died. The changelog, the run log and the change feed stay. Returns the number of
+        removed files and folders."""
+        with self.locked():
+            fs, root = self._path("")
+            versions = self.versions()
+            needed = {(folder, file) for v in versions[-keep:] for _, folder, file in self.files(v)}
+            gone = []
+            for version in sorted(f.getPath().getName() for f in fs.listStatus(root)):
+                if not version.startswith("v-"):
+                    continue
+                if version not in versions:
+                    gone.append(version)
+                    continue
+                gone += [f"{version}/{draft}" for draft in ("incoming", "changed") if fs.exists(self._path(f"{version}/{draft}")[1])]
+                folder = f"{version}/mappings_current"
+                if fs.exists(self._path(folder)[1]):
+                    found = [f.getPath().getName() for f in fs.listStatus(self._path(folder)[1])]
+                    gone += [f"{folder}/{name}" for name in found if name.startswith("part-") and (folder, name) not in needed]
+            for name in gone:
+                fs.delete(self._path(name)[1], True)
+            return len(gone)
+
     def export_csv(self, df: DataFrame, name: str) -> None:
         """A table as CSV files with a header, in the order of its tails."""
         df.orderBy("n_number").write.mode("overwrite").csv(f"{self.root}/exports/{name}", header=True)

@@ -87,6 +87,22 @@ def test_the_diff_of_bucketed_tables_shuffles_nothing(spark, three_days):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
 
 
+def test_vacuum_removes_what_no_kept_version_needs(spark, tmp_path):
+    kept = feed.Feed(spark, str(tmp_path / "f"), buckets=4)
+    for day, owners in zip(DAYS, (FIRST, SECOND, THIRD), strict=True):
+        publish(kept, owners, day)
+    (tmp_path / "f" / "v-died" / "incoming").mkdir(parents=True)
+    before, logs = state(kept), [kept.table(t).count() for t in ("changelog", "refresh_run")]
+    old = set(kept.files(kept.versions()[1])) - set(kept.files())
+    assert kept.vacuum(keep=2) >= 7 and all((tmp_path / "f" / folder / name).exists() for _, folder, name in old)
+    assert kept.vacuum(keep=1) == len(old) and not any((tmp_path / "f" / folder / name).exists() for _, folder, name in old)
+    assert kept.vacuum(keep=1) == 0 and not (tmp_path / "f" / "v-died").exists()
+    assert state(kept) == before and logs == [kept.table(t).count() for t in ("changelog", "refresh_run")]
+    assert changefeed.changes(spark, kept.root).select("version").distinct().count() == 3
+    publish(kept, FIRST, "2026-09-04")
+    assert state(kept)["N999"] == ("CC", DAYS[2], 5)
+
+
 def records(df):
     return Counter((r.version, r.table, r.op, r.key) for r in df.collect())
 
