@@ -63,7 +63,7 @@ def refresh(
             aircraft=aircraft,
             subsidiaries=subsidiaries,
             gold=report,
-            conflicts=resolve.conflicts(decided),
+            conflicts=resolve.conflicts(decided, evidence),
             offline=offline,
             skip_subsidiaries=skip_subsidiaries,
         )

@@ -22,7 +22,7 @@ from ..functions.exprs import (
     pad_cik,
 )
 from ..sources.schemas import MAPPING_COLUMNS, TRUST_COLUMNS
-from .indexes import address_index, name_index, subsidiary_index
+from .indexes import address_rows, brief, name_index, name_rows, subsidiary_index, subsidiary_rows
 from .listings import primary_listings
 
 
@@ -58,41 +58,49 @@ def edgar_evidence(hits: DataFrame, aircraft: DataFrame, primary: DataFrame) ->
     )
 
 
+#: The indexes whose list of tickers a conflict may name instead of holding it.
+NAMES, SUBSIDIARIES = "names", "subsidiaries"
+
+
 def licence_evidence(licences: DataFrame, names: DataFrame, subs: DataFrame) -> DataFrame:
-    """n_number -> the ordered fold over its licences (by licence id): struct licence(outcome, tickers, hit, uls_id, sub, licensee).
+    """n_number -> the ordered fold over its licences (by licence id): struct licence(outcome, tickers, many, one).
 
-    The first licence whose key has several tickers is a conflict; so is a later licence with another ticker
-    than the first hit. Names are looked up before subsidiaries. Both events are minima over the licence
-    order, so the fold is an aggregate: the first ambiguous one, the first hit, and the first hit that differs.
+    ``names`` and ``subs`` are brief indexes. The first licence whose key has several tickers is a conflict; so is a later licence
+    with another ticker than the first hit. Names are looked up before subsidiaries. Both events are minima over the
+    licence order, so the fold is an aggregate: the first ambiguous one, the first hit, and the first hit that differs.
+    An ambiguous one is told by its key; ``tickers`` are the two that differ.
     """
     usable = licences.filter("n_number <> ''").filter(
         classify_registrant(F.col("licensee_name"), F.lit(False), F.lit(False)) != "trustee"
     )
     keyed = usable.withColumn("key", normalize_name(F.col("licensee_name")))
-    by_name = names.select("key", F.col("tickers").alias("nt"), F.col("hit").alias("nh"))
-    by_sub = subs.select("key", F.col("tickers").alias("st"), F.col("hit").alias("sh"))
-    met = keyed.join(by_name, "key", "left").join(by_sub, "key", "left").withColumn("sub", F.col("nt").isNull())
-    met = met.withColumn("tickers", F.coalesce("nt", "st")).withColumn("hit", F.coalesce("nh", "sh")).filter("tickers is not null")
-    event = F.struct("uls_id", "tickers", "hit", "sub", "licensee_name")
-    many, one = F.size("tickers") > 1, F.size("tickers") == 1
-    first = met.groupBy("n_number").agg(
-        F.min_by(event, F.when(many, F.col("uls_id"))).alias("many"),
-        F.min_by(event, F.when(one, F.col("uls_id"))).alias("one"),
-    )
+    by_name = names.select("key", F.col("n").alias("nn"), F.col("hit").alias("nh"))
+    by_sub = subs.select("key", F.col("n").alias("sn"), F.col("hit").alias("sh"))
+    met = keyed.join(by_name, "key", "left").join(by_sub, "key", "left").withColumn("sub", F.col("nn").isNull())
+    met = met.withColumn("n", F.coalesce("nn", "sn")).withColumn("hit", F.coalesce("nh", "sh")).filter("n is not null")
+    many, one = F.col("n") > 1, F.col("n") == 1
+    event = F.struct("uls_id", "key", "hit", "sub", "licensee_name")
     # The first licence of every ticker: the second smallest is where the tickers first differ.
-    each = met.filter(one).groupBy("n_number", "hit.ticker").agg(F.min("uls_id").alias("at"))
-    second = each.groupBy("n_number").agg(F.array_sort(F.collect_list(F.struct("at", "ticker"))).alias("order"))
-    joined = first.join(second, "n_number", "left").withColumn("differs", F.get("order", F.lit(1)))
+    each = met.groupBy("n_number", "n", F.when(one, F.col("hit.ticker")).alias("ticker")).agg(
+        F.min("uls_id").alias("at"), F.min_by(event, "uls_id").alias("event")
+    )
+    order = F.array_sort(F.collect_list(F.when(one, F.struct("at", "ticker"))))
+    first = each.groupBy("n_number").agg(
+        F.min_by("event", F.when(many, F.col("at"))).alias("many"),
+        F.min_by("event", F.when(one, F.col("at"))).alias("one"),
+        F.get(order, F.lit(1)).alias("differs"),
+    )
     ambiguous_first = F.col("many").isNotNull() & (F.col("differs").isNull() | (F.col("many.uls_id") < F.col("differs.at")))
     outcome = F.when(ambiguous_first, "many").when(F.col("differs").isNotNull(), "differs").otherwise("one")
-    tickers = F.when(ambiguous_first, F.col("many.tickers")).when(
-        F.col("differs").isNotNull(), F.array_sort(F.array(F.col("one.hit.ticker"), F.col("differs.ticker")))
-    )
-    return joined.select("n_number", F.struct(outcome.alias("outcome"), tickers.alias("tickers"), F.col("one").alias("one")).alias("licence"))
+    tickers = F.when(~ambiguous_first & F.col("differs").isNotNull(), F.array_sort(F.array(F.col("one.hit.ticker"), F.col("differs.ticker"))))
+    return first.select("n_number", F.struct(outcome.alias("outcome"), tickers.alias("tickers"), "many", "one").alias("licence"))
 
 
-def _decision(dest: str, method: str | Column | None = None, hit: Column | None = None, source: Column | None = None, tickers: Column | None = None, reason: str | None = None) -> Column:
-    """One decision; ``hit`` has cik, ticker, name."""
+def _decision(
+    dest: str, method: str | Column | None = None, hit: Column | None = None, source: Column | None = None,
+    tickers: Column | None = None, reason: str | None = None, index: str | Column | None = None, key: Column | None = None,
+) -> Column:
+    """One decision; ``hit`` has cik, ticker, name. The tickers of a conflict are given, or are those of ``key`` in ``index``."""
     text = F.lit(None).cast("string")
     part = (lambda k: hit[k]) if hit is not None else (lambda k: text)
     return F.struct(
@@ -104,7 +112,9 @@ def _decision(dest: str, method: str | Column | None = None, hit: Column | None
         (source if source is not None else text).alias("source_url"),
         (tickers if tickers is not None else F.lit(None).cast("array<string>")).alias("tickers"),
         (F.lit(reason) if reason else text).alias("reason"),
-    )
+        (text if index is None else F.lit(index) if isinstance(index, str) else index).alias("index"),
+        (key if key is not None else text).alias("key"),
+    )
 
 
 def _when(chain: Column | None, condition: Column, decision: Column) -> Column:
@@ -112,10 +122,14 @@ def _when(chain: Column | None, condition: Column, decision: Column) -> Column:
 
 
 def decide(aircraft: DataFrame, evidence: Evidence, faa_source: str, publish_address_cluster: bool = False) -> DataFrame:
-    """Aircraft columns plus ``d``: the decision of every corporate aircraft."""
+    """Aircraft columns plus ``d``: the decision of every corporate aircraft.
+
+    A key may have as many tickers as there are companies, and very many aircraft: no row here holds the list of its
+    key, conflicts name it. ``conflicts`` joins the lists.
+    """
     primary = primary_listings(evidence.companies)
-    names, subs = name_index(primary), subsidiary_index(evidence.subsidiaries, primary)
-    places = address_index(primary, evidence.subsidiaries)
+    names, subs = brief(name_rows(primary)), brief(subsidiary_rows(evidence.subsidiaries, primary))
+    places = brief(address_rows(primary, evidence.subsidiaries))
     listed = primary.select(F.col("cik").alias("o_cik"), F.col("name").alias("o_listed"))
     override = (
         last_per_tail(evidence.overrides, "ticker", "cik", "company_name", "citation")
@@ -138,27 +152,31 @@ def decide(aircraft: DataFrame, evidence: Evidence, faa_source: str, publish_add
             "place_key": normalize_address(F.col("street"), F.col("city"), F.col("state")),
         }
     )
+    # Licences decide trustees only.
+    trustees = keyed.filter(F.col("class") == "trustee").select("n_number").distinct()
+    licences = evidence.licences.join(trustees, "n_number", "left_semi")
     joined = (
         keyed.join(override, "n_number", "left")
         .join(edgar_evidence(evidence.edgar_hits, aircraft, primary), "n_number", "left")
-        .join(licence_evidence(evidence.licences, names, subs), "n_number", "left")
+        .join(licence_evidence(licences, names, subs), "n_number", "left")
         .join(forbidden, "n_number", "left")
-        .join(names.select(F.col("key").alias("name_key"), F.col("tickers").alias("name_t"), F.col("hit").alias("name_h")), "name_key", "left")
-        .join(subs.select(F.col("key").alias("name_key"), F.col("tickers").alias("sub_t"), F.col("hit").alias("sub_h")), "name_key", "left")
-        .join(places.select(F.col("key").alias("place_key"), F.col("tickers").alias("place_t"), F.col("hit").alias("place_h")), "place_key", "left")
+        .join(names.select(F.col("key").alias("name_key"), F.col("n").alias("name_n"), F.col("hit").alias("name_h")), "name_key", "left")
+        .join(subs.select(F.col("key").alias("name_key"), F.col("n").alias("sub_n"), F.col("hit").alias("sub_h")), "name_key", "left")
+        .join(places.select(F.col("key").alias("place_key"), F.col("n").alias("place_n"), F.col("hit").alias("place_h")), "place_key", "left")
     )
 
-    def one(tickers: str) -> Column:
-        return F.coalesce(F.size(tickers) == 1, F.lit(False))
+    def one(n: str | Column) -> Column:
+        return F.coalesce((F.col(n) if isinstance(n, str) else n) == 1, F.lit(False))
 
-    def many(tickers: str) -> Column:
-        return F.coalesce(F.size(tickers) > 1, F.lit(False))
+    def many(n: str | Column) -> Column:
+        return F.coalesce((F.col(n) if isinstance(n, str) else n) > 1, F.lit(False))
 
     source = F.lit(faa_source)
     edgar_hit = F.struct(F.col("edgar.t").alias("ticker"), F.col("edgar.p_cik").alias("cik"), F.col("edgar.name").alias("name"))
     edgar_source = F.when(F.col("edgar.url") != "", F.col("edgar.url")).otherwise(source)
     trustee = F.col("class") == "trustee"
     outcome, licence_hit = F.col("licence.outcome"), F.col("licence.one.hit")
+    licence_index = F.when(F.col("licence.many.sub"), SUBSIDIARIES).otherwise(NAMES)
     licence_source = F.concat(F.lit("fcc-uls-aircraft:"), F.col("licence.one.uls_id"))
     licence_ok = ~F.col("licence.one.sub") | name_match_corroborated(
         normalize_name(F.col("licence.one.licensee_name")), licence_hit["name"], licence_hit["ticker"]
@@ -167,19 +185,20 @@ def decide(aircraft: DataFrame, evidence: Evidence, faa_source: str, publish_add
     steps = [
         (F.col("class").isin("fractional", "faa_fractional_flag", "airline", "individual"), _decision("excluded")),
         (F.col("override").isNotNull(), _decision("published", D.MANUAL_OVERRIDE, F.col("override"), F.col("override.citation"))),
-        (one("edgar_tickers"), _decision("published", D.EDGAR_NNUMBER, edgar_hit, edgar_source)),
-        (many("edgar_tickers"), _decision("conflict", D.EDGAR_NNUMBER, tickers=F.col("edgar_tickers"))),
-        (trustee & outcome.isin("many", "differs"), _decision("conflict", D.FCC_LICENSEE_EXACT, tickers=F.col("licence.tickers"))),
+        (one(F.size("edgar_tickers")), _decision("published", D.EDGAR_NNUMBER, edgar_hit, edgar_source)),
+        (many(F.size("edgar_tickers")), _decision("conflict", D.EDGAR_NNUMBER, tickers=F.col("edgar_tickers"))),
+        (trustee & (outcome == "many"), _decision("conflict", D.FCC_LICENSEE_EXACT, index=licence_index, key=F.col("licence.many.key"))),
+        (trustee & (outcome == "differs"), _decision("conflict", D.FCC_LICENSEE_EXACT, tickers=F.col("licence.tickers"))),
         (trustee & (outcome == "one") & licence_ok, _decision("published", D.FCC_LICENSEE_EXACT, licence_hit, licence_source)),
         (trustee & (outcome == "one"), _decision("review", D.FCC_LICENSEE_EXACT, licence_hit, licence_source)),
         (trustee, _decision("unresolved", reason="trustee")),
         (F.col("name_key") == "", _decision("unresolved", reason="empty_name")),
-        (one("name_t"), _decision("published", D.EXACT_LEGAL_NAME, F.col("name_h"), source)),
-        (many("name_t"), _decision("conflict", D.EXACT_LEGAL_NAME, tickers=F.col("name_t"))),
-        (one("sub_t") & sub_ok, _decision("published", D.EX21_SUBSIDIARY, F.col("sub_h"), F.lit("pudl:exhibit21"))),
-        (one("sub_t"), _decision("review", D.EX21_SUBSIDIARY, F.col("sub_h"), F.lit("pudl:exhibit21"))),
-        (many("sub_t"), _decision("conflict", D.EX21_SUBSIDIARY, tickers=F.col("sub_t"))),
-        (one("place_t"), _decision("published" if publish_address_cluster else "review", D.ADDRESS_CLUSTER, F.col("place_h"), source)),
+        (one("name_n"), _decision("published", D.EXACT_LEGAL_NAME, F.col("name_h"), source)),
+        (many("name_n"), _decision("conflict", D.EXACT_LEGAL_NAME, index=NAMES, key=F.col("name_key"))),
+        (one("sub_n") & sub_ok, _decision("published", D.EX21_SUBSIDIARY, F.col("sub_h"), F.lit("pudl:exhibit21"))),
+        (one("sub_n"), _decision("review", D.EX21_SUBSIDIARY, F.col("sub_h"), F.lit("pudl:exhibit21"))),
+        (many("sub_n"), _decision("conflict", D.EX21_SUBSIDIARY, index=SUBSIDIARIES, key=F.col("name_key"))),
+        (one("place_n"), _decision("published" if publish_address_cluster else "review", D.ADDRESS_CLUSTER, F.col("place_h"), source)),
     ]
     chain = None
     for condition, decision in steps:
@@ -210,8 +229,14 @@ def review_queue(decided: DataFrame, as_of: str) -> DataFrame:
     return _mappings(decided, "review", as_of)
 
 
-def conflicts(decided: DataFrame) -> DataFrame:
-    return decided.filter("dest = 'conflict'").select("n_number", "registrant_name", "d.tickers", "d.method")
+def conflicts(decided: DataFrame, evidence: Evidence) -> DataFrame:
+    """Conflicts with all their tickers; ``evidence`` is that of the decisions."""
+    primary = primary_listings(evidence.companies)
+    indexes = {NAMES: name_index(primary), SUBSIDIARIES: subsidiary_index(evidence.subsidiaries, primary)}
+    names, subs = (rows.select(F.lit(k).alias("index"), "key", F.col("tickers").alias("listed")) for k, rows in indexes.items())
+    rows = decided.filter("dest = 'conflict'").select("n_number", "registrant_name", "d.tickers", "d.method", "d.index", "d.key")
+    met = rows.join(names.unionByName(subs), ["index", "key"], "left")
+    return met.select("n_number", "registrant_name", F.coalesce("tickers", "listed").alias("tickers"), "method")
 
 
 def unresolved(decided: DataFrame, as_of: str) -> DataFrame:

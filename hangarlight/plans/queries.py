@@ -76,10 +76,13 @@ class World:
         return U.gold(self.t)
 
     @cached_property
-    def _decided(self) -> DataFrame:
+    def evidence(self) -> resolve.Evidence:
         t = self.t
-        evidence = resolve.Evidence(self.companies, t["subsidiaries"], t["edgar_hits"], t["licences"], t["overrides"], t["unpublished"])
-        return stored(resolve.decide(self.aircraft, evidence, SOURCE))
+        return resolve.Evidence(self.companies, t["subsidiaries"], t["edgar_hits"], t["licences"], t["overrides"], t["unpublished"])
+
+    @cached_property
+    def _decided(self) -> DataFrame:
+        return stored(resolve.decide(self.aircraft, self.evidence, SOURCE))
 
     def decided(self) -> DataFrame:
         return self._decided
@@ -206,7 +209,8 @@ def resolve_review(spark, sf_dir):
 
 @query
 def resolve_conflicts(spark, sf_dir):
-    return resolve.conflicts(world(spark, sf_dir).decided()).select("n_number", "registrant_name", joined("tickers"), "method")
+    w = world(spark, sf_dir)
+    return resolve.conflicts(w.decided(), w.evidence).select("n_number", "registrant_name", joined("tickers"), "method")
 
 
 @query
