@@ -86,17 +86,25 @@ def names_within(texts: DataFrame, names: DataFrame) -> DataFrame:
 def gold_miss_buckets(companies: DataFrame, published: DataFrame, review: DataFrame, aircraft: DataFrame, trusts: DataFrame) -> DataFrame:
     """ticker, bucket and counters: where each gold company got stuck, by precedence.
 
-    Names meet aircraft by equal norm. Unresolved trusts may also contain a name of 6 or more characters.
+    Names meet aircraft by equal norm. Unresolved trusts may also contain a name of 6 or more characters. A name shared by many
+    companies and many aircraft is counted by name: a tail under one norm alone, as all but odd ones are, counts for its norm, and
+    only tails under several norms are paired with tickers.
     """
     names = gold_names(companies).select("ticker", "norm").distinct()
     keyed = aircraft.select("n_number", normalize_name(F.col("registrant_name")).alias("norm"), census_reason(F.col).alias("airframe"))
     on_feed = published.groupBy("ticker").agg(F.count("*").alias("published_tails"))
     held = review.groupBy("ticker").agg(F.count("*").alias("review_n"))
-    tails = names.join(keyed, "norm").groupBy("ticker", "n_number").agg(F.min("airframe").alias("airframe"))
-    met = tails.groupBy("ticker").agg(F.count("*").alias("master_n"), F.count(F.when(F.col("airframe").isNull(), 1)).alias("airframe_pass_n"))
-    trust = trusts.select("n_number", normalize_name(F.col("registrant_name")).alias("trust"))
-    within = names_within(trust.select(F.col("trust").alias("text")), names).withColumnRenamed("text", "trust")
-    in_trust = names.join(within, "norm").join(trust, "trust").groupBy("ticker").agg(F.countDistinct("n_number").alias("trust_n"))
+    keyed = keyed.filter("norm <> ''")
+    tails = keyed.groupBy("n_number").agg(F.min("norm").alias("norm"), F.max("norm").alias("last"), F.min("airframe").alias("airframe"))
+    passed = F.count(F.when(F.col("airframe").isNull(), 1)).alias("airframe_pass_n")
+    by_norm = tails.filter("norm = last").groupBy("norm").agg(F.count("*").alias("master_n"), passed)
+    several = keyed.join(tails.filter("norm <> last").select(F.col("n_number").alias("odd")), F.col("n_number").eqNullSafe(F.col("odd")), "left_semi")
+    pairs = names.join(several, "norm").groupBy("ticker", "n_number").agg(F.min("airframe").alias("airframe"))
+    counts = names.join(by_norm, "norm").drop("norm").unionByName(pairs.groupBy("ticker").agg(F.count("*").alias("master_n"), passed))
+    met = counts.groupBy("ticker").agg(F.sum("master_n").alias("master_n"), F.sum("airframe_pass_n").alias("airframe_pass_n"))
+    trust = trusts.select(normalize_name(F.col("registrant_name")).alias("text"))
+    within = names_within(trust, names).select("norm").distinct()
+    in_trust = names.join(within, "norm", "left_semi").select("ticker").distinct().withColumn("in_trust", F.lit(True))
     every = companies.select(F.upper("ticker").alias("ticker")).distinct()
     for part in (on_feed, held, met, in_trust):
         every = every.join(part, "ticker", "left")
@@ -106,7 +114,7 @@ def gold_miss_buckets(companies: DataFrame, published: DataFrame, review: DataFr
         .when(F.col("review_n") > 0, "review_queue")
         .when(F.col("airframe_pass_n") > 0, "master_name_not_published")
         .when(F.col("master_n") > 0, "airframe_filtered")
-        .when(F.col("trust_n") > 0, "trust_name_only")
+        .when(F.col("in_trust"), "trust_name_only")
         .otherwise("no_master_legal_name")
     )
     fail = (F.col("master_n") - F.col("airframe_pass_n")).alias("airframe_fail_n")

@@ -47,3 +47,43 @@ def test_brief_indexes_agree_with_whole_ones(spark):
     found = {r.key: (r.n, r.only, tuple(r.hit)) for r in indexes.brief(rows).collect()}
     whole = {r.key: (min(len(r.tickers), 2), r.tickers[0] if len(r.tickers) == 1 else None, tuple(r.hit)) for r in indexes._index(rows).collect()}
     assert found == whole and len(found) == 3
+
+
+def test_the_census_counts_shared_names_without_their_pairs(spark):
+    companies = spark.createDataFrame([(f"t{k:02d}", "1", "", ["Common Name Inc"]) for k in range(50)] + [("t00", "1", "Rare Corp", ["Common Name"]), ("u1", "2", "", ["Bankers"])], "ticker string, cik string, company_name string, registrant_names array<string>")
+    # N0 is listed under two names, one of them with an airframe that does not pass; a tail without number is a tail as well.
+    planes = aircraft(spark, [(f"N{k}", "Common Name LLC") for k in range(40)] + [("N0", "Rare Inc"), ("N1", "Common Name Inc"), ("N900", "Nobody")])
+    planes = planes.withColumn("type_engine", F.when(F.col("registrant_name") == "Rare Inc", "1").otherwise(F.col("type_engine")))
+    nothing = spark.createDataFrame([], "n_number string, ticker string")
+    trusts = spark.createDataFrame([("N5", "The Bankers Trustee"), ("N5", "Other")], "n_number string, registrant_name string")
+    report = analytics.gold_miss_buckets(companies, nothing, nothing, planes, trusts)
+    found = {r.ticker: tuple(r)[1:] for r in report.collect()}
+    assert len(found) == 51 and found["T07"] == ("master_name_not_published", 0, 0, 40, 40, 0)
+    assert found["T00"] == ("master_name_not_published", 0, 0, 40, 39, 1)
+    assert found["U1"] == ("trust_name_only", 0, 0, 0, 0, 0)
+
+
+def test_the_census_joins_no_name_with_every_tail(spark):
+    """No operator of the census puts out as many rows as there are pairs of companies and aircraft of one name."""
+    companies = spark.createDataFrame([(f"t{k:03d}", "1", "", ["Common Name Inc"]) for k in range(200)], "ticker string, cik string, company_name string, registrant_names array<string>")
+    planes = aircraft(spark, [(f"N{k}", "Common Name LLC") for k in range(300)])
+    nothing = spark.createDataFrame([], "n_number string, ticker string")
+    report = analytics.gold_miss_buckets(companies, nothing, nothing, planes, spark.createDataFrame([(f"N{k}", "Common Name Trustee") for k in range(300)], "n_number string, registrant_name string"))
+    assert {r.master_n for r in report.collect()} == {300}
+    assert 0 < most_rows(report) <= 2000
+
+
+def most_rows(df):
+    """The most rows that an operator of an executed plan put out, but for its grams."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        rows = node.metrics().get("numOutputRows")
+        below = [walk(node.children().apply(k)) for k in range(node.children().size())]
+        return max([rows.get().value() if rows.isDefined() and "Join" in name else 0, *below])
+
+    plan = df._jdf.queryExecution().executedPlan()
+    return walk(plan)
