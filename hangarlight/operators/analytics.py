@@ -135,35 +135,45 @@ def name_precision(companies: DataFrame, published: DataFrame, aircraft: DataFra
     )
 
 
+#: Over so many parts the tails of one name are dealt where they meet its companies.
+DEALT = 16
+
+
 def alias_reasons(companies: DataFrame, names: DataFrame, aircraft: DataFrame, published: DataFrame, review: DataFrame, forbidden: DataFrame) -> DataFrame:
     """ticker, cik, name, n_number, reason: why a gold registrant name's tail needs no alias, or ``addable``.
 
-    ``names`` is the name index (key, tickers). The reasons are an ordered chain.
+    ``names`` is the brief name index. The reasons are an ordered chain. The result has a row for each pair of a company and a
+    tail of one name, so all that is known of a tail or of a company is joined before they meet; nothing is joined or
+    shuffled after that. The tails of a name are dealt over ``DEALT`` parts, which each hold its companies.
     """
     raw = companies.select(F.upper("ticker").alias("ticker"), "cik", F.explode(F.array_distinct("registrant_names")).alias("name"))
-    keyed = raw.withColumn("norm", normalize_name(F.col("name"))).filter("norm <> ''")
+    known = names.select(F.col("key").alias("norm"), "n", "only")
+    state = F.when((F.col("n") == 1) & (F.col("only") == F.col("ticker")), "already_in_name_index").when(F.col("n").isNotNull(), "uniqueness_collision").otherwise("addable")
+    keyed = (
+        raw.withColumn("norm", normalize_name(F.col("name")))
+        .filter("norm <> ''")
+        .join(known, "norm", "left")
+        .select("ticker", "cik", "name", "norm", state.alias("state"), F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))).alias("part"))
+    )
     kind = classify_registrant(F.col("registrant_name"), F.trim("type_registrant") == "1", F.col("fractional_owner"))
     tails = aircraft.select("n_number", normalize_name(F.col("registrant_name")).alias("norm"), census_reason(F.col).alias("airframe"), kind.alias("class"))
-    met = (
-        keyed.join(tails, "norm")
+    own = F.when(F.col("airframe").isNotNull(), F.concat(F.lit("airframe:"), "airframe")).when(F.col("class") != "eligible", F.concat(F.lit("class:"), "class"))
+    looked = (
+        tails.select("n_number", "norm", own.alias("own"))
         .join(published.select("n_number", F.col("ticker").alias("pub")), "n_number", "left")
         .join(review.select("n_number", F.lit(True).alias("held")).distinct(), "n_number", "left")
         .join(forbidden.select("n_number", F.upper("must_not_ticker").alias("barred")), "n_number", "left")
-        .join(names.select(F.col("key").alias("norm"), "tickers"), "norm", "left")
+        .withColumn("part", F.coalesce(F.pmod(F.xxhash64("n_number"), F.lit(DEALT)), F.lit(0)).cast("int"))
     )
-    only = (F.size("tickers") == 1) & (F.get("tickers", 0) == F.col("ticker"))
     reason = (
-        F.when(F.col("airframe").isNotNull(), F.concat(F.lit("airframe:"), "airframe"))
-        .when(F.col("class") != "eligible", F.concat(F.lit("class:"), "class"))
+        F.when(F.col("own").isNotNull(), F.col("own"))
         .when(F.col("barred") == F.col("ticker"), "unpublished_suppress")
         .when(F.col("pub") == F.col("ticker"), "already_published_same_ticker")
         .when(F.col("pub").isNotNull(), "published_other_ticker")
         .when(F.col("held"), "review_queue")
-        .when(F.col("tickers").isNotNull() & only, "already_in_name_index")
-        .when(F.col("tickers").isNotNull(), "uniqueness_collision")
-        .otherwise("addable")
+        .otherwise(F.col("state"))
     )
-    return met.select("ticker", "cik", "name", "n_number", reason.alias("reason"))
+    return looked.join(keyed, ["norm", "part"]).select("ticker", "cik", "name", "n_number", reason.alias("reason"))
 
 
 def alias_candidates(reasons: DataFrame) -> DataFrame:

@@ -349,7 +349,7 @@ def name_precision(spark, sf_dir):
 @query
 def alias_reasons(spark, sf_dir):
     w = world(spark, sf_dir)
-    names = indexes.name_index(w.primary)
+    names = indexes.brief(indexes.name_rows(w.primary))
     return analytics.alias_reasons(w.gold["companies"], names, w.aircraft, w.published(), w.review(), w.t["unpublished"])
 
 

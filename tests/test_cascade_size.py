@@ -8,7 +8,7 @@ AIR = "n_number string, serial string, type_registrant string, registrant_name s
 
 
 def aircraft(spark, rows):
-    return spark.createDataFrame([(n, n, "3", name, "1 MAIN ST", "RENO", "NV", "5", "5", "V", n.lower(), "GULFSTREAM", "G5", False) for n, name in rows], AIR)
+    return spark.createDataFrame([(n, n, "3", name, "1 MAIN ST", "RENO", "NV", "5", "5", "V", (n or "").lower(), "GULFSTREAM", "G5", False) for n, name in rows], AIR)
 
 
 def evidence(spark, companies, subsidiaries=(), licences=()):
@@ -87,3 +87,47 @@ def most_rows(df):
 
     plan = df._jdf.queryExecution().executedPlan()
     return walk(plan)
+
+
+def wide_joins(df, least):
+    """How many joins of an executed plan put out so many rows or more."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        rows = node.metrics().get("numOutputRows")
+        own = int("Join" in name and rows.isDefined() and rows.get().value() >= least)
+        return own + sum(walk(node.children().apply(k)) for k in range(node.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_alias_reasons_make_their_pairs_in_the_last_join(spark):
+    companies = spark.createDataFrame([(f"t{k:03d}", f"{k}", "", ["Common Name Inc"]) for k in range(60)] + [("u", "1", "", ["Solo Corp"]), ("v", "2", "", ["New Corp"])], "ticker string, cik string, company_name string, registrant_names array<string>")
+    planes = aircraft(spark, [(f"N{k}", "Common Name LLC") for k in range(80)] + [("N900", "Solo Inc"), ("N901", "New Inc"), ("N902", "Solo Trustee"), (None, "New LLC")])
+    names = indexes.brief(spark.createDataFrame([("COMMON NAME", "T001", "1", "a"), ("COMMON NAME", "T002", "2", "b"), ("SOLO", "U", "3", "c")], "key string, ticker string, cik string, name string"))
+    published = spark.createDataFrame([("N1", "T003"), ("N2", "X")], "n_number string, ticker string")
+    review = spark.createDataFrame([("N3",), ("N3",)], "n_number string")
+    forbidden = spark.createDataFrame([("N4", "t005"), ("N4", "t006"), ("N1", "q")], "n_number string, must_not_ticker string")
+    report = analytics.alias_reasons(companies, names, planes, published, review, forbidden)
+    rows = report.collect()
+    found = {}
+    for r in rows:
+        found.setdefault((r.ticker, r.n_number), []).append(r.reason)
+    # N4 is barred twice, so it gives two rows a company.
+    assert len(rows) == 60 * 81 + 4 and found["U", "N902"] == ["class:trustee"]
+    assert found["T003", "N1"] == ["already_published_same_ticker"] and found["T004", "N1"] == found["T003", "N2"] == ["published_other_ticker"]
+    assert found["T003", "N3"] == ["review_queue"] and sorted(found["T005", "N4"]) == ["uniqueness_collision", "unpublished_suppress"]
+    assert found["T001", "N9"] == ["uniqueness_collision"] and found["U", "N900"] == ["already_in_name_index"] and found["V", "N901"] == found["V", None] == ["addable"]
+    assert wide_joins(report, 4000) == 1
+
+
+def test_the_cascade_gathers_no_tickers_of_a_key(spark):
+    given = evidence(spark, [("A", "Alpha Inc"), ("B", "Alpha Inc")], [("0000000000", "P", "Beta LLC", "", "", "")], [("N1", "Alpha", "1")])
+    decided = resolve.decide(aircraft(spark, [("N1", "Alpha Inc")]), given, "x")
+    plan = decided._jdf.queryExecution().optimizedPlan().toString()
+    # Hits of a tail are gathered by tail; tickers of names, subsidiaries and addresses are not.
+    assert plan.count("collect_set(") == 1 and "collect_set(t#" in plan
+    assert [r.dest for r in decided.collect()] == ["conflict"]
