@@ -28,13 +28,23 @@ MOST, LONGEST = 1 << 19, 64
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same for ASCII texts, in classes that the faster library knows.
 _ASCII_WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
-_INSIDE_RUN = re.compile(rf"[\s{BLANK}] ")
+#: What a blank is not cut after: white space, all of it up to U+3000, and U+2581. The ASCII ones first.
+_SPACES = [*filter(str.isspace, map(chr, range(0x3001))), BLANK]
+_ASCII_SPACES = [c for c in _SPACES if c.isascii()]
 _CUT = re.compile(rf" (?<=[^\s{BLANK}] )")
 
 
+def _runs(text: str) -> bool:
+    """Whether a blank follows white space or U+2581; most such characters are in no text, and looking for one is fast."""
+    for c in _ASCII_SPACES if text.isascii() else _SPACES:
+        if c in text and c + " " in text:
+            return True
+    return False
+
+
 def pieces(text: str) -> list[str]:
     """The text between its cuts, without the blanks of the cuts."""
-    return _CUT.split(text) if text.startswith(" ") or _INSIDE_RUN.search(text) else text.split(" ")
+    return _CUT.split(text) if text.startswith(" ") or _runs(text) else text.split(" ")
 
 
 class _Cache(dict):
